@@ -1,0 +1 @@
+"""Reserved. Every load is a batch; there is no streaming operator to provide."""
