@@ -21,7 +21,7 @@ SEGMENT_MEDIUM = "medio_2_3"
 SEGMENT_LOW = "bajo_0_1"
 SEGMENT_NONE = "sin_score"
 
-SEGMENT_LABELS = {
+SEGMENT_LABELS = {  # in the order of the segments
     SEGMENT_HIGH: "Alto (4-5)",
     SEGMENT_MEDIUM: "Medio (2-3)",
     SEGMENT_LOW: "Bajo (0-1)",
@@ -42,6 +42,7 @@ __all__ = [
     "score_segment",
     "score_segment_order",
     "segment_label",
+    "segment_of",
     "stock_alarm",
 ]
 
@@ -92,21 +93,21 @@ def stock_alarm(stock: Column | str, reorder: Column | str) -> Column:
     return F.when(stock <= 0, 2).when(stock <= reorder, 1).otherwise(0)
 
 
-def score_segment(score: Column | str) -> Column:
-    score = _col(score)
-    return (
-        F.when(score >= 4, SEGMENT_HIGH)
-        .when(score >= 2, SEGMENT_MEDIUM)
-        .when(score.isNotNull(), SEGMENT_LOW)
-        .otherwise(SEGMENT_NONE)
-    )
-
-
 def score_segment_order(score: Column | str) -> Column:
+    """Rank of the segment of a score: 1 high, 2 medium, 3 low, 4 no score."""
     score = _col(score)
     return F.when(score >= 4, 1).when(score >= 2, 2).when(score.isNotNull(), 3).otherwise(4)
 
 
+def segment_of(order: Column | str) -> Column:
+    """Segment by its rank."""
+    return F.element_at(F.array(*[F.lit(s) for s in SEGMENT_LABELS]), _col(order))
+
+
+def score_segment(score: Column | str) -> Column:
+    return segment_of(score_segment_order(score))
+
+
 def segment_label(segment: Column | str) -> Column:
     """Display label of a segment; an unknown segment passes through."""
     segment = _col(segment)

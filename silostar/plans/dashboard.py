@@ -53,9 +53,9 @@ def monthly(dp01: DataFrame) -> DataFrame:
 
 def bar_width(df: DataFrame, value: str, name: str = "width") -> DataFrame:
     """Whole percentage of the highest value, at least 2."""
-    shown = F.coalesce(F.col(value), F.lit(0))
+    shown = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
     highest = df.select(F.max(shown)).scalar()
-    percent = F.lit(100) * shown / F.when(highest == 0, F.lit(1)).otherwise(highest)
+    percent = shown / F.when(highest == 0, F.lit(1.0)).otherwise(highest) * 100
     return df.withColumn(name, F.greatest(F.lit(2), percent.cast("int")))
 
 

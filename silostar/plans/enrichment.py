@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silostar.functions.columns import blank_to_null
 from silostar.model import COUNTRY_ALIASES, ISO_FALLBACK
 from silostar.operators.history import timestamp
 from silostar.operators.merge import ensure_columns, scd1_update, upsert
-from silostar.operators.ranking import top_per_key
+from silostar.operators.ranking import first_per_key, top_per_key
 
 GEO_ATTRIBUTES = {
     "country_iso_code": "string",
@@ -29,12 +29,18 @@ def resolve_country(
 ) -> DataFrame:
     """Country attributes under every name the warehouse uses: the own name and the aliases.
     An alias whose target exists goes before a record under the same name."""
-    spark = countries.sparkSession
-    pairs = spark.createDataFrame(list(aliases.items()), "alias string, country string")
-    renamed = countries.join(F.broadcast(pairs), "country").drop("country")
-    aliased = renamed.withColumnRenamed("alias", "country").select(*countries.columns)
-    direct = countries.join(F.broadcast(aliased.select("country")), "country", "left_anti")
-    return direct.unionByName(aliased)
+    def entry(name: Column, is_alias: bool) -> Column:
+        return F.struct(name.alias("name"), F.lit(is_alias).alias("is_alias"))
+
+    own = entry(F.col("country"), False)
+    others = [
+        F.when(F.col("country") == target, entry(F.lit(alias), True))
+        for alias, target in aliases.items()
+    ]
+    rest = [c for c in countries.columns if c != "country"]
+    named = countries.select(F.explode(F.array_compact(F.array(own, *others))).alias("n"), *rest)
+    named = named.select(F.col("n.name").alias("country"), *rest, "n.is_alias")
+    return first_per_key(named, ["country"], [F.desc("is_alias")]).drop("is_alias")
 
 
 def enrich_geography(

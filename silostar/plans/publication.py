@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from silostar.functions.columns import (
     NO_COUNTRY,
     period,
-    score_segment,
     score_segment_order,
+    segment_of,
 )
 from silostar.operators.merge import ensure_columns, or_default
 from silostar.plans.enrichment import GEO_ATTRIBUTES
@@ -18,6 +18,15 @@ from silostar.plans.enrichment import GEO_ATTRIBUTES
 NO_PROFILE = "sin_perfilado_disponible"  # fixed value
 
 
+def _country_attributes(dim_geography: DataFrame) -> DataFrame:
+    """The enriched attributes of each country. A place without a country has none."""
+    return (
+        ensure_columns(dim_geography, GEO_ATTRIBUTES)
+        .groupBy("country")
+        .agg(*[F.max(c).alias(c) for c in GEO_ATTRIBUTES])
+    )
+
+
 def dp01_sales_geo_score(
     fact: DataFrame, dim_date: DataFrame, dim_geography: DataFrame, dim_customer: DataFrame,
     scores: DataFrame,
@@ -27,7 +36,7 @@ def dp01_sales_geo_score(
     Lines are first reduced to orders (grouping by all order-level keys, so the result does
     not depend on an order having one customer). Lookups and the two distinct counts then
     run on orders. Country attributes describe the country and are not part of the key, so
-    a place enriched later than others cannot split a cell.
+    a place enriched later than others cannot split a cell; they join the finished cells.
     """
     orders = fact.groupBy(
         "order_id", "customer_key", "order_date_key", "ship_geography_key"
@@ -43,26 +52,19 @@ def dp01_sales_geo_score(
         F.col("year_number").alias("anio"),
         F.col("month_number").alias("mes"),
     )
-    places = ensure_columns(dim_geography, GEO_ATTRIBUTES).select(
-        F.col("geography_key").alias("ship_geography_key"), "country", *GEO_ATTRIBUTES
-    )
+    places = dim_geography.select(F.col("geography_key").alias("ship_geography_key"), "country")
     segments = (
         dim_customer.select("customer_key")
         .join(scores.select("customer_key", "score"), "customer_key", "left")
-        .select(
-            "customer_key",
-            score_segment("score").alias("score_segment"),
-            score_segment_order("score").alias("score_segment_order"),
-        )
+        .select("customer_key", score_segment_order("score").alias("score_segment_order"))
     )
     net, orders_in_cell = F.sum("net"), F.count_distinct("order_id")
-    return (
+    cells = (
         orders.join(F.broadcast(days), "order_date_key")
         .join(places, "ship_geography_key")
         .join(segments, "customer_key")
-        .groupBy("anio", "mes", "country", "score_segment", "score_segment_order")
+        .groupBy("anio", "mes", "country", "score_segment_order")
         .agg(
-            *[F.max(c).alias(c) for c in GEO_ATTRIBUTES],
             F.count_distinct("customer_key").alias("clientes_distintos"),
             orders_in_cell.alias("ordenes"),
             F.sum("lines").alias("lineas_orden"),
@@ -74,13 +76,14 @@ def dp01_sales_geo_score(
                 "avg_order_net_amount"
             ),
         )
-        .select(
-            "anio", "mes", period("anio", "mes").alias("periodo"),
-            F.coalesce("country", F.lit(NO_COUNTRY)).alias("ship_country"),
-            *GEO_ATTRIBUTES, "score_segment", "score_segment_order", "clientes_distintos",
-            "ordenes", "lineas_orden", "cantidad_total", "gross_amount", "discount_amount",
-            "net_amount", "avg_order_net_amount",
-        )
+    )
+    return cells.join(_country_attributes(dim_geography), "country", "left").select(
+        "anio", "mes", period("anio", "mes").alias("periodo"),
+        F.coalesce("country", F.lit(NO_COUNTRY)).alias("ship_country"),
+        *GEO_ATTRIBUTES, segment_of("score_segment_order").alias("score_segment"),
+        "score_segment_order", "clientes_distintos",
+        "ordenes", "lineas_orden", "cantidad_total", "gross_amount", "discount_amount",
+        "net_amount", "avg_order_net_amount",
     )
 
 

@@ -60,9 +60,15 @@ def build_dim_geography(places: DataFrame) -> DataFrame:
     return places.groupBy(signature).agg(*[F.min(c).alias(c) for c in PLACE])
 
 
-def extend_dim_geography(dim: DataFrame, orders: DataFrame) -> DataFrame:
-    """Rows to add for delivery places the dimension does not have."""
-    return not_present(build_dim_geography(ship_places(orders)), dim, ["geography_signature"])
+def extend_dim_geography(
+    dim: DataFrame, orders: DataFrame, customers: DataFrame | None = None
+) -> DataFrame:
+    """Rows to add for delivery places (and places of customers) the dimension does not
+    have."""
+    places = ship_places(orders)
+    if customers is not None:
+        places = places.unionByName(customers.select(*PLACE))
+    return not_present(build_dim_geography(places), dim, ["geography_signature"])
 
 
 def _with_place(df: DataFrame, signature: Column, geography: DataFrame, key: str) -> DataFrame:

@@ -30,9 +30,13 @@ def null(to: str = "string") -> Column:
 class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table, opened once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def places(self) -> DataFrame:
@@ -179,26 +183,36 @@ class Inputs:
         return self.customers.withColumns({"contact_title": title, "fax": fax})
 
     # Dimensions, with natural keys as keys ----------------------------------
+    def keyed(self, table: str, column: str, name: str) -> DataFrame:
+        natural = F.col(column)
+        return self.table(table).select(natural.alias(f"{name}_id"), natural.alias(f"{name}_key"))
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        return self.keyed("customer", "c_custkey", "customer")
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return self.keyed("part", "p_partkey", "product")
+
+    @cached_property
+    def dim_geography(self) -> DataFrame:
+        return self.geography(self.orders)
+
+    def geography(self, orders: DataFrame) -> DataFrame:
+        places = star.source_geo(self.customers, self.employees, orders)
+        signature = F.col("geography_signature").alias("geography_key")
+        return star.build_dim_geography(places).select("*", signature)
+
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
-        geography = star.build_dim_geography(
-            star.source_geo(self.customers, self.employees, self.orders)
-        )
         return {
             "date": star.build_dim_date(self.orders),
-            "geography": geography.withColumn("geography_key", F.col("geography_signature")),
-            "customer": self.table("customer").select(
-                F.col("c_custkey").alias("customer_id"), F.col("c_custkey").alias("customer_key")
-            ),
-            "product": self.table("part").select(
-                F.col("p_partkey").alias("product_id"), F.col("p_partkey").alias("product_key")
-            ),
-            "employee": self.employees.select(
-                "employee_id", F.col("employee_id").alias("employee_key")
-            ),
-            "shipper": self.shippers.select(
-                "shipper_id", F.col("shipper_id").alias("shipper_key")
-            ),
+            "geography": self.dim_geography,
+            "customer": self.dim_customer,
+            "product": self.dim_product,
+            "employee": self.keyed("nation", "n_nationkey", "employee"),
+            "shipper": self.keyed("region", "r_regionkey", "shipper"),
         }
 
     @cached_property

@@ -322,12 +322,12 @@ def dim_geography_extend(i: Inputs) -> DataFrame:
 
 @query
 def dim_customer(i: Inputs) -> DataFrame:
-    return star.build_dim_customer(i.customers, i.dims["geography"])
+    return star.build_dim_customer(i.customers, i.dim_geography)
 
 
 @query
 def dim_employee(i: Inputs) -> DataFrame:
-    return star.build_dim_employee(i.employees, i.dims["geography"])
+    return star.build_dim_employee(i.employees, i.dim_geography)
 
 
 @query
@@ -372,10 +372,9 @@ def fact_lines(i: Inputs) -> DataFrame:
 
 def _delta_dims(i: Inputs) -> dict[str, DataFrame]:
     """Dimensions at the time of a delta that brings unknown shippers, places and days."""
-    known = star.build_dim_geography(star.source_geo(i.customers, i.employees, i.base_orders))
     return i.dims | {
         "date": star.build_dim_date(i.base_orders),
-        "geography": known.withColumn("geography_key", F.col("geography_signature")),
+        "geography": i.geography(i.base_orders),
         "shipper": i.dims["shipper"].filter("shipper_id < 3"),
     }
 
@@ -392,8 +391,8 @@ def fact_insert_ignore(i: Inputs) -> DataFrame:
     old = i.base_orders.select("order_id")
     existing = i.order_details.join(old, "order_id", "left_semi")
     grain = ["order_id", "product_id"]
-    order = [F.col(c) for c in ("line_number", "gross_amount", "quantity")] + [F.desc("discount")]
-    return merge.insert_new(i.order_details, existing, grain, order).drop("discount")
+    order = [F.col(c) for c in ("line_number", "gross_amount", "quantity", "discount")]
+    return merge.insert_new(i.order_details, existing, grain, order)
 
 
 @query
@@ -443,12 +442,12 @@ def scd2_product_init(i: Inputs) -> DataFrame:
 # Metrics --------------------------------------------------------------------
 @query
 def customer_sales_metrics(i: Inputs) -> DataFrame:
-    return metrics.customer_sales_metrics(i.sales, i.dims["customer"], i.order_days)
+    return metrics.customer_sales_metrics(i.sales, i.dim_customer, i.order_days)
 
 
 @query
 def product_sales_metrics(i: Inputs) -> DataFrame:
-    return metrics.product_sales_metrics(i.sales, i.dims["product"], i.order_days)
+    return metrics.product_sales_metrics(i.sales, i.dim_product, i.order_days)
 
 
 # Enrichment -----------------------------------------------------------------
@@ -459,7 +458,7 @@ def enrich_geography(i: Inputs) -> DataFrame:
 
 @query
 def score_best_per_customer(i: Inputs) -> DataFrame:
-    return enrichment.best_scores(i.raw_scores, i.dims["customer"])
+    return enrichment.best_scores(i.raw_scores, i.dim_customer)
 
 
 @query
@@ -469,14 +468,14 @@ def score_upsert(i: Inputs) -> DataFrame:
         i.table("customer").filter("c_acctbal > 5000").select(F.col("c_custkey").alias("customer_id")),
         "customer_id", "left_semi",
     ).select("customer_key", "customer_id", "score", "fecha_carga")
-    best = enrichment.best_scores(i.raw_scores, i.dims["customer"])
+    best = enrichment.best_scores(i.raw_scores, i.dim_customer)
     return enrichment.load_scores(target, best, BATCH_TS)
 
 
 # Publication ----------------------------------------------------------------
 def _dp01(i: Inputs) -> DataFrame:
     return publication.dp01_sales_geo_score(
-        i.sales, i.order_days, i.enriched_geography, i.dims["customer"], i.customer_scores
+        i.sales, i.order_days, i.enriched_geography, i.dim_customer, i.customer_scores
     )
 
 
