@@ -7,8 +7,10 @@ tables: inserts leave out known keys and unchanged versions open nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +92,14 @@ class Recorder:
         return self.rows
 
 
+def _together(jobs: Iterable[Callable[[], object]]) -> None:
+    """Run writes that do not depend on each other at the same time, so that small tables
+    do not leave the cluster idle."""
+    with ThreadPoolExecutor(4) as pool:
+        for running in [pool.submit(job) for job in jobs]:
+            running.result()
+
+
 def read_checks(wh: Warehouse) -> DataFrame:
     return wh.read(CHECKS, model.CHECK_SCHEMA)
 
@@ -110,10 +120,12 @@ def acquire(
 ) -> dict[str, int]:
     """Files to raw tables, all text."""
     record = Recorder(wh, step, RAW_LOAD)
-    for source in sources:
-        record.overwrite(
-            read_source(wh.spark, folder, source, multi_line), source.raw_table
-        )
+
+    def load(source: model.Source) -> None:
+        rows = read_source(wh.spark, folder, source, multi_line)
+        record.overwrite(rows, source.raw_table)
+
+    _together(partial(load, s) for s in sources)
     return record.close()
 
 
@@ -130,10 +142,13 @@ def profile_tables(
     wh: Warehouse, columns: Mapping[str, Sequence[str]], ts: datetime, step: str,
     table_row: bool = False, approx: bool = False,
 ) -> None:
-    """Profiles of the given columns of each table, one append per table."""
-    for table, names in columns.items():
-        rows = profile(wh.read(table), table, names, ts, step, table_row, approx)
-        append_numbered(wh, rows, PROFILES, model.PROFILE_SCHEMA, ["tabla", "columna"])
+    """Profiles of the given columns of each table, in one append."""
+    parts = [
+        profile(wh.read(table), table, names, ts, step, table_row, approx)
+        for table, names in columns.items()
+    ]
+    rows = reduce(DataFrame.unionByName, parts)
+    append_numbered(wh, rows, PROFILES, model.PROFILE_SCHEMA, ["tabla", "columna"])
 
 
 def profile_raw(
@@ -155,9 +170,12 @@ def stage(
         if wh.exists(source.staged_table):
             gates.gate_empty(wh.read(source.staged_table), source.staged_table)
     record = Recorder(wh, step, STAGED_LOAD)
-    for source in sources:
+
+    def load(source: model.Source) -> None:
         typed = to_typed(wh.read(source.raw_table), source.typed_columns)
         record.append(typed, source.staged_table)
+
+    _together(partial(load, s) for s in sources)
     return record.close()
 
 
@@ -238,10 +256,13 @@ def load_warehouse(
         (DIM_EMPLOYEE, star.build_dim_employee(employees, geography), "employee"),
         (DIM_SHIPPER, star.build_dim_shipper(wh.read("tmp_shippers")), "shipper"),
     ]
-    for table, rows, name in dimensions:
+
+    def load_dimension(table: str, rows: DataFrame, name: str) -> None:
         keyed = assign_keys(rows, [f"{name}_id"], f"{name}_key")
         record.overwrite(_stamped(keyed, ts), table)
 
+    _together(partial(load_dimension, *d) for d in dimensions)
+
     fact = assign_keys(
         star.build_fact(lines, orders, _dims(wh), "strict"), GRAIN, "order_line_key"
     )
@@ -251,11 +272,15 @@ def load_warehouse(
         (CUSTOMER_HISTORY, customers, "customer", model.CUSTOMER_ATTRIBUTES, ()),
         (PRODUCT_HISTORY, named, "product", model.PRODUCT_ATTRIBUTES, ("stock_alarm_level",)),
     ]
-    for table, rows, name, attributes, extra in histories:
+
+    def load_history(table: str, rows: DataFrame, name: str, attributes, extra) -> None:
         versions = scd2_init(rows, [f"{name}_id"], attributes, ts, extra)
         record.overwrite(assign_keys(versions, [f"{name}_id"], f"{name}_history_key"), table)
 
-    _write_metrics(wh, record, ts)
+    _together(
+        [*(partial(load_history, *h) for h in histories),
+         lambda: _write_metrics(wh, record, ts)]
+    )
     _log_checks(wh, ck.row_reconciliation(wh.read(FACT), lines, FACT, ts, step))
     return record.close()
 
@@ -405,15 +430,17 @@ def publish(wh: Warehouse, ts: datetime, step: str = "publish") -> dict[str, int
     sales = publication.dp01_sales_geo_score(
         wh.read(FACT), wh.read(DIM_DATE), wh.read(DIM_GEOGRAPHY), wh.read(DIM_CUSTOMER), scores
     )
-    stamp = "fecha_publicacion"
-    record.overwrite(_stamped(sales, ts, stamp), SALES)
-    checks = publication.dp02_checks(read_checks(wh))
-    record.overwrite(_stamped(checks, ts, stamp), CHECK_SUMMARY, ["nombre_script"])
-    events = publication.dp02_events(wh.read(EVENTS, model.EVENT_SCHEMA))
-    record.overwrite(_stamped(events, ts, stamp), EVENT_SUMMARY)
     profiles = wh.read(PROFILES, model.PROFILE_SCHEMA)
-    summary = publication.dp02_profiles_or_default(profiles, timestamp(ts))
-    record.overwrite(_stamped(summary, ts, stamp), PROFILE_SUMMARY)
+    products = [
+        (sales, SALES),
+        (publication.dp02_checks(read_checks(wh)), CHECK_SUMMARY, ["nombre_script"]),
+        (publication.dp02_events(wh.read(EVENTS, model.EVENT_SCHEMA)), EVENT_SUMMARY),
+        (publication.dp02_profiles_or_default(profiles, timestamp(ts)), PROFILE_SUMMARY),
+    ]
+    _together(
+        partial(record.overwrite, _stamped(df, ts, "fecha_publicacion"), *target)
+        for df, *target in products
+    )
     return record.close()
 
 
@@ -455,26 +482,30 @@ def dashboards(wh: Warehouse, step: str = "dashboards") -> dict[str, DataFrame]:
 
 
 # Whole loads ----------------------------------------------------------------
-def initial_load(wh: Warehouse, folder: str, ts: datetime | None = None) -> dict[str, int]:
+def initial_load(
+    wh: Warehouse, folder: str, ts: datetime | None = None, approx_profiles: bool = False
+) -> dict[str, int]:
     """Initial files to a loaded warehouse."""
     ts = ts or batch_timestamp()
     acquire(wh, folder, model.INITIAL)
     check_raw(wh, model.INITIAL, ts)
-    profile_raw(wh, model.INITIAL, ts)
+    profile_raw(wh, model.INITIAL, ts, approx=approx_profiles)
     stage(wh, model.INITIAL)
     check_keys(wh, model.INITIAL_KEYS, ts)
     check_staged(wh, ts)
     rows = load_warehouse(wh, ts)
-    profile_warehouse(wh, ts)
+    profile_warehouse(wh, ts, approx=approx_profiles)
     return rows
 
 
-def delta_load(wh: Warehouse, folder: str, ts: datetime | None = None) -> dict[str, int]:
+def delta_load(
+    wh: Warehouse, folder: str, ts: datetime | None = None, approx_profiles: bool = False
+) -> dict[str, int]:
     """Delta files into the warehouse."""
     ts = ts or batch_timestamp()
     acquire(wh, folder, model.DELTA, "acquire_delta")
     check_raw(wh, model.DELTA, ts, "check_delta")
-    profile_raw(wh, model.DELTA, ts, "profile_delta")
+    profile_raw(wh, model.DELTA, ts, "profile_delta", approx_profiles)
     for source in model.DELTA:  # a new delta replaces the staged rows of the one before
         if wh.exists(source.staged_table):
             staged = wh.read(source.staged_table)

@@ -114,7 +114,7 @@ def read_scores(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     plain = [F.coalesce(_strip(c), F.lit("")).alias(c) for c in SCORE_COLUMNS.values()]
     return (
         rows.filter(~F.col("_short")).select(*plain),
-        rows.filter("_short").select("record"),
+        rows.filter("_short").select("customer_id", "record"),
     )
 
 

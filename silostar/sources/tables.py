@@ -2,11 +2,13 @@
 
 Plain Parquet has no UPDATE, so a change writes the new content to a new folder and then
 appends one row to the snapshot log. Readers follow the log, so they see the old content
-until the new one is complete. One writer at a time is assumed.
+until the new one is complete. Appends and partition replacement work inside the current
+folder. One writing process at a time is assumed.
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silostar.model import EVENT_SCHEMA
+from silostar.operators.keys import assign_keys
+from silostar.session import batch_timestamp
 
 _LOG_SCHEMA = T.StructType(
     [
@@ -35,18 +39,28 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
 
+        self._latest: dict[str, Row] | None = None
+        self._lock = threading.Lock()
+
     # Reading ----------------------------------------------------------------
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_snapshots")
-        except AnalysisException:
-            return None
+    def refresh(self) -> None:
+        """Look at the log again, to see what another writer has done."""
+        self._latest = None
+
+    def _snapshots(self) -> dict[str, Row]:
+        """The last log entry of every table (as many rows as there are tables)."""
+        if self._latest is None:
+            try:
+                log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_snapshots")
+            except AnalysisException:  # nothing written yet
+                return {}
+            entry = F.struct("version", "path", "table", "written")
+            last = log.groupBy("table").agg(F.max(entry).alias("entry")).select("entry.*")
+            self._latest = {row.table: row for row in last.collect()}
+        return self._latest
 
     def _current(self, table: str) -> Row | None:
-        log = self._log()
-        if log is None:
-            return None
-        return log.filter(F.col("table") == table).orderBy(F.desc("version")).first()
+        return self._snapshots().get(table)
 
     def exists(self, table: str) -> bool:
         return self._current(table) is not None
@@ -80,10 +94,13 @@ class Warehouse:
         version = (current.version if current else 0) + 1
         path = f"{self.root}/{table}/v{version:06d}-{uuid.uuid4().hex[:8]}"
         rows = self._write(df, path, "errorifexists", partition_by)
-        entry = [(table, version, path, datetime.now())]
-        self.spark.createDataFrame(entry, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/_snapshots"
-        )
+        entry = Row(table=table, version=version, path=path, written=batch_timestamp())
+        # Tables may be written from several threads; commits to the log go one by one.
+        with self._lock:
+            self.spark.createDataFrame([entry], _LOG_SCHEMA).coalesce(1).write.mode(
+                "append"
+            ).parquet(f"{self.root}/_snapshots")
+            self._latest = self._snapshots() | {table: entry}
         return rows
 
     def append(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
@@ -109,8 +126,6 @@ def append_numbered(
 ) -> int:
     """Append rows to a log table with increasing ids (a batch of log rows is small: one
     per declared check, column or write)."""
-    from silostar.operators.keys import assign_keys
-
     existing = warehouse.read(table, schema)
     numbered = assign_keys(df, order, "id", existing, bucket_digits=1)
     return warehouse.append(numbered.select(*[f.name for f in schema]).coalesce(1), table)
