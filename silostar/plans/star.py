@@ -179,8 +179,11 @@ def build_fact(
     discount = F.col("discount")
     if strict:
         discount = F.coalesce(discount, F.lit(0).cast(lines.schema["discount"].dataType))
+    # Lines are the largest side and must not be the broadcast one, whatever their estimate;
+    # a merge join also leaves them partitioned by order for what follows.
     return (
-        lines.join(headers, "order_id")
+        lines.hint("merge")
+        .join(headers, "order_id")
         .join(product, "product_id")
         .select(
             "order_id", "product_id", "customer_key", "product_key", "employee_key",

@@ -18,7 +18,13 @@ from pyspark.sql import functions as F
 from silostar import model
 from silostar.operators import checks as ck
 from silostar.operators import gates
-from silostar.operators.history import scd2_changes, scd2_init, scd2_merge, timestamp
+from silostar.operators.history import (
+    CURRENT,
+    scd2_changes,
+    scd2_init,
+    scd2_merge,
+    timestamp,
+)
 from silostar.operators.keys import assign_keys
 from silostar.operators.merge import insert_new, scd1_update
 from silostar.operators.profile import profile
@@ -53,6 +59,9 @@ REQUIRED_CHECKS = 16
 SCORE_TYPES = "customer_key bigint, customer_id string, score int, fecha_carga timestamp_ntz"
 GRAIN = ("order_id", "product_id")
 FACT_PARTITIONS = ("order_year", "order_month")
+FACT_BUCKET_DIGITS = 4  # the fact is the largest table: more, smaller buckets to number
+# Open versions apart from closed ones, so that a delta reads the open ones only.
+HISTORY_PARTITIONS = (CURRENT,)
 # ----------------------------------------------------------------------------
 
 
@@ -264,7 +273,8 @@ def load_warehouse(
     _together(partial(load_dimension, *d) for d in dimensions)
 
     fact = assign_keys(
-        star.build_fact(lines, orders, _dims(wh), "strict"), GRAIN, "order_line_key"
+        star.build_fact(lines, orders, _dims(wh), "strict"), GRAIN, "order_line_key",
+        bucket_digits=FACT_BUCKET_DIGITS,
     )
     record.overwrite(_fact_layout(_stamped(fact, ts)), FACT, FACT_PARTITIONS)
 
@@ -275,7 +285,8 @@ def load_warehouse(
 
     def load_history(table: str, rows: DataFrame, name: str, attributes, extra) -> None:
         versions = scd2_init(rows, [f"{name}_id"], attributes, ts, extra)
-        record.overwrite(assign_keys(versions, [f"{name}_id"], f"{name}_history_key"), table)
+        keyed = assign_keys(versions, [f"{name}_id"], f"{name}_history_key")
+        record.overwrite(keyed, table, HISTORY_PARTITIONS)
 
     _together(
         [*(partial(load_history, *h) for h in histories),
@@ -325,7 +336,9 @@ def _apply_versions(
     history, dim = wh.read(history_table), wh.read(dim_table)
     opened = scd2_changes(history, incoming, key, attributes, ts, extra)
     numbered = assign_keys(opened, key, f"{name}_history_key", existing=history)
-    record.overwrite(scd2_merge(history, numbered, key, ts), history_table)
+    record.overwrite(
+        scd2_merge(history, numbered, key, ts), history_table, HISTORY_PARTITIONS
+    )
 
     changed = dim_rows.join(opened.select(*key), key, "left_semi")
     added = _stamped(
@@ -379,7 +392,8 @@ def update_warehouse(
     fact = wh.read(FACT)
     built = star.build_fact(lines, orders, _dims(wh), "lenient")
     fresh = assign_keys(
-        insert_new(built, fact, GRAIN), GRAIN, "order_line_key", existing=fact
+        insert_new(built, fact, GRAIN), GRAIN, "order_line_key", existing=fact,
+        bucket_digits=FACT_BUCKET_DIGITS,
     )
     dropped = star.dropped_lines(
         lines, orders, wh.read(DIM_CUSTOMER), wh.read(DIM_PRODUCT)

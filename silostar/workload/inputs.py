@@ -23,6 +23,34 @@ LOAD_TS = datetime(2024, 1, 1, 0, 0, 0)
 DELTA_FROM = "2001-01-01"  # orders from this day on arrive with the delta
 
 
+# Declared, so that opening a table reads no file.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
+
 def null(to: str = "string") -> Column:
     return F.lit(None).cast(to)
 
@@ -35,7 +63,8 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         """A given table, opened once."""
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self._tables[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
     @cached_property
@@ -240,7 +269,7 @@ class Inputs:
             F.col("l_quantity").cast("int").alias("quantity"),
             *star.line_amounts(gross, discount, null_discount=0),
         )
-        return lines.join(headers, "order_id")
+        return lines.hint("merge").join(headers, "order_id")
 
     @cached_property
     def order_days(self) -> DataFrame:
