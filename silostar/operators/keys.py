@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,33 +15,47 @@ def assign_keys(
     key: str,
     existing: DataFrame | None = None,
     bucket_digits: int = 3,
+    dense: bool = True,
 ) -> DataFrame:
-    """Number new rows densely, after the highest key already given out.
+    """Number new rows after the highest key already given out.
 
-    Rows are put in 16**bucket_digits buckets by the hash of their natural key, numbered
-    inside each bucket, and shifted by the rows in the buckets before. The buckets are even
-    because natural keys are unique, and the numbers depend on the values alone, so a task
-    that runs again gives the same ones. Only the bucket sizes (16**bucket_digits rows at
-    most) pass through one task and are broadcast.
+    Rows are put in 16**bucket_digits buckets by the hash of their natural key and numbered
+    inside each bucket, so no task sees more than a bucket. The buckets are even because
+    natural keys are unique, and the numbers depend on the values alone, so a task that runs
+    again gives the same ones.
+
+    ``dense`` numbers have no gaps: each bucket is shifted by the rows in the buckets before
+    it, which takes a count of ``new`` first. Without it the buckets interleave (bucket b
+    gives b, b + n, b + 2n, ...), ``new`` is evaluated once, and there may be gaps; use this
+    for large or costly frames.
     """
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in natural_key])
     bucketed = new.withColumn("_bucket", F.substring(F.md5(text), 1, bucket_digits))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural_key))
+    placed = bucketed.withColumn("_place", place.cast("bigint"))
 
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
+    last = F.lit(0).cast("bigint")
+    if existing is not None:
+        last = F.coalesce(existing.select(F.max(key)).scalar(), last)
+    if dense:
+        placed = placed.join(F.broadcast(_offsets(bucketed)), "_bucket")
+        number = last + F.col("_offset") + F.col("_place")
+    else:
+        number = _interleaved(last, 16**bucket_digits)
+    return placed.select(number.cast("bigint").alias(key), *new.columns)
+
+
+def _offsets(bucketed: DataFrame) -> DataFrame:
+    """Rows before each bucket: at most 16**bucket_digits rows, which is what bounds the
+    one-task window and the broadcast."""
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
+    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
+    return sizes.select(
         "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
 
-    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural_key))
-    first = F.lit(0)
-    if existing is not None:
-        first = F.coalesce(existing.select(F.max(key)).scalar(), F.lit(0))
-    return (
-        bucketed.withColumn("_place", place)
-        .join(F.broadcast(offsets), "_bucket")
-        .select(
-            (first + F.col("_offset") + F.col("_place")).cast("bigint").alias(key),
-            *new.columns,
-        )
-    )
+
+def _interleaved(last: Column, buckets: int) -> Column:
+    start = last + F.pmod(F.negate(last), F.lit(buckets))  # next multiple of the buckets
+    bucket = F.conv("_bucket", 16, 10).cast("bigint")
+    return start + (F.col("_place") - 1) * buckets + bucket + 1

@@ -30,7 +30,7 @@ from silostar.operators.merge import insert_new, scd1_update
 from silostar.operators.profile import profile
 from silostar.plans import dashboard, enrichment, metrics, publication, star
 from silostar.plans.staging import to_typed
-from silostar.session import batch_timestamp
+from silostar.session import batch_timestamp, cut_lineage
 from silostar.sources.delimited import read_country_attributes, read_scores, read_source
 from silostar.sources.tables import Warehouse, append_numbered, event, log_events
 
@@ -274,7 +274,7 @@ def load_warehouse(
 
     fact = assign_keys(
         star.build_fact(lines, orders, _dims(wh), "strict"), GRAIN, "order_line_key",
-        bucket_digits=FACT_BUCKET_DIGITS,
+        bucket_digits=FACT_BUCKET_DIGITS, dense=False,
     )
     record.overwrite(_fact_layout(_stamped(fact, ts)), FACT, FACT_PARTITIONS)
 
@@ -334,7 +334,10 @@ def _apply_versions(
     changed keys, and add rows for keys that are new."""
     key = [f"{name}_id"]
     history, dim = wh.read(history_table), wh.read(dim_table)
-    opened = scd2_changes(history, incoming, key, attributes, ts, extra)
+    # read by the history, the dimension and the count
+    opened = cut_lineage(
+        scd2_changes(history, incoming, key, attributes, ts, extra), wh.checkpoints
+    )
     numbered = assign_keys(opened, key, f"{name}_history_key", existing=history)
     record.overwrite(
         scd2_merge(history, numbered, key, ts), history_table, HISTORY_PARTITIONS
@@ -390,10 +393,12 @@ def update_warehouse(
     )
 
     fact = wh.read(FACT)
-    built = star.build_fact(lines, orders, _dims(wh), "lenient")
+    built = cut_lineage(
+        star.build_fact(lines, orders, _dims(wh), "lenient"), wh.checkpoints
+    )
     fresh = assign_keys(
         insert_new(built, fact, GRAIN), GRAIN, "order_line_key", existing=fact,
-        bucket_digits=FACT_BUCKET_DIGITS,
+        bucket_digits=FACT_BUCKET_DIGITS, dense=False,
     )
     dropped = star.dropped_lines(
         lines, orders, wh.read(DIM_CUSTOMER), wh.read(DIM_PRODUCT)
@@ -497,11 +502,14 @@ def dashboards(wh: Warehouse, step: str = "dashboards") -> dict[str, DataFrame]:
 
 # Whole loads ----------------------------------------------------------------
 def initial_load(
-    wh: Warehouse, folder: str, ts: datetime | None = None, approx_profiles: bool = False
+    wh: Warehouse, folder: str, ts: datetime | None = None, approx_profiles: bool = False,
+    multi_line: bool = True,
 ) -> dict[str, int]:
-    """Initial files to a loaded warehouse."""
+    """Initial files to a loaded warehouse. Large files without line breaks in their fields
+    should be read with ``multi_line=False``, which lets Spark split them, and large tables
+    be profiled with ``approx_profiles=True``."""
     ts = ts or batch_timestamp()
-    acquire(wh, folder, model.INITIAL)
+    acquire(wh, folder, model.INITIAL, multi_line=multi_line)
     check_raw(wh, model.INITIAL, ts)
     profile_raw(wh, model.INITIAL, ts, approx=approx_profiles)
     stage(wh, model.INITIAL)
@@ -513,11 +521,12 @@ def initial_load(
 
 
 def delta_load(
-    wh: Warehouse, folder: str, ts: datetime | None = None, approx_profiles: bool = False
+    wh: Warehouse, folder: str, ts: datetime | None = None, approx_profiles: bool = False,
+    multi_line: bool = True,
 ) -> dict[str, int]:
     """Delta files into the warehouse."""
     ts = ts or batch_timestamp()
-    acquire(wh, folder, model.DELTA, "acquire_delta")
+    acquire(wh, folder, model.DELTA, "acquire_delta", multi_line)
     check_raw(wh, model.DELTA, ts, "check_delta")
     profile_raw(wh, model.DELTA, ts, "profile_delta", approx_profiles)
     for source in model.DELTA:  # a new delta replaces the staged rows of the one before

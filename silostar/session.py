@@ -41,17 +41,14 @@ def batch_timestamp() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, folder: str) -> DataFrame:
     """Materialise a frame that several outputs of one step read.
 
-    Uses a reliable checkpoint in the folder the cluster names in spark.checkpoint.dir,
-    so the rows survive the loss of executors. Where no folder is named the plan is
-    returned unchanged and is simply evaluated again.
+    A reliable checkpoint, so the rows survive the loss of executors. It goes to the folder
+    the cluster names in spark.checkpoint.dir; ``folder``, which must be on shared storage,
+    is only used where none is named.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    if spark.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", folder))
+    return df.checkpoint(eager=True)

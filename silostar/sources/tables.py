@@ -43,7 +43,12 @@ class Warehouse:
         self._lock = threading.Lock()
 
     # Reading ----------------------------------------------------------------
-    def refresh(self) -> None:
+    @property
+    def checkpoints(self) -> str:
+        """Shared folder for checkpoints where the cluster names none."""
+        return f"{self.root}/_checkpoints"
+
+    def reload(self) -> None:
         """Look at the log again, to see what another writer has done."""
         self._latest = None
 

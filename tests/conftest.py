@@ -11,6 +11,8 @@ def spark():
     from silostar import session
 
     spark = session.build("local[4]", 4)
+    # The tables of the tests are tiny: compiling a plan costs more than running it.
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
     spark.stop()

@@ -24,6 +24,19 @@ def test_assign_keys_dense_and_stable(frame):
     assert empty.count() == 0
 
 
+def test_assign_keys_interleaved(frame):
+    first = frame("n string", *[(f"k{i}",) for i in range(50)])
+    known = keys.assign_keys(first, ["n"], "key", bucket_digits=1, dense=False)
+    got = [r.key for r in known.collect()]
+    assert len(set(got)) == 50 and min(got) >= 1
+    assert max(got) <= 16 * 50
+    more = keys.assign_keys(
+        frame("n string", ("x",), ("y",)), ["n"], "key", known, bucket_digits=1, dense=False
+    )
+    fresh = [r.key for r in more.collect()]
+    assert len(set(fresh)) == 2 and min(fresh) > max(got)
+
+
 def test_insert_new(frame):
     target = frame("k int, v string", (1, "old"))
     new = frame("k int, v string", (1, "new"), (2, "b"), (2, "a"), (3, "c"))

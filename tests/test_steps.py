@@ -113,7 +113,8 @@ def test_initial_load(loaded):
     assert checks.count() == 91
     assert checks.select("id").distinct().count() == 91
     fact = wh.read(steps.FACT)
-    assert sorted(r.order_line_key for r in fact.collect()) == [1, 2, 3]
+    assert fact.select("order_line_key").distinct().count() == 3
+    assert rows(wh.read(steps.DIM_PRODUCT).select("product_key")) == [(1,), (2,)]
     names = dict(rows(wh.read(steps.DIM_CUSTOMER).select("customer_key", "customer_id")))
     got = {(names[r.customer_key], float(r.net_amount)) for r in fact.collect()}
     assert got == {("AAA", 21.0), ("AAA", 9.45), ("BBB", 42.0)}
