@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from silostar.functions.columns import segment_label
 from silostar.operators.ranking import top
@@ -52,9 +53,11 @@ def monthly(dp01: DataFrame) -> DataFrame:
 
 
 def bar_width(df: DataFrame, value: str, name: str = "width") -> DataFrame:
-    """Whole percentage of the highest value, at least 2."""
+    """Whole percentage of the highest value, at least 2. ``df`` holds the rows of a report
+    (``top_countries``: ten), so the window over all of them is as small; a subquery would
+    compute the report twice."""
     shown = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
-    highest = df.select(F.max(shown)).scalar()
+    highest = F.max(shown).over(Window.partitionBy())
     percent = shown / F.when(highest == 0, F.lit(1.0)).otherwise(highest) * 100
     return df.withColumn(name, F.greatest(F.lit(2), percent.cast("int")))
 

@@ -54,10 +54,14 @@ def ship_places(orders: DataFrame) -> DataFrame:
 
 
 def build_dim_geography(places: DataFrame) -> DataFrame:
-    """One row per signature, with the smallest spelling of each attribute. Duplicates of a
-    place collapse in the map-side half of this one aggregate."""
+    """One row per signature, with the smallest spelling of each attribute.
+
+    Distinct places come first: that is a hash aggregate, which reduces each map task to a
+    few rows. The lowest texts need a sort aggregate, which then sorts distinct places only.
+    """
     signature = geo_signature(*PLACE).alias("geography_signature")
-    return places.groupBy(signature).agg(*[F.min(c).alias(c) for c in PLACE])
+    distinct = places.select(*PLACE).distinct()
+    return distinct.groupBy(signature).agg(*[F.min(c).alias(c) for c in PLACE])
 
 
 def extend_dim_geography(

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silostar.functions.columns import date_key
+from silostar.functions.columns import date_key, line_amounts
 from silostar.plans import star
 
 AMOUNT = "decimal(12,2)"
@@ -147,29 +147,37 @@ class Inputs:
             F.when(F.col("p_type") == "ECONOMY", 1).otherwise(0).alias("discontinued"),
         )
 
+    @cached_property
+    def order_headers(self) -> DataFrame:
+        """What the orders table alone gives: no join where none is needed."""
+        ordered = F.col("o_orderdate")
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            ordered.alias("order_date"),
+            (ordered + F.expr("INTERVAL 30 DAYS")).alias("required_date"),
+            F.when(F.col("o_orderstatus") != "O", ordered + F.expr("INTERVAL 7 DAYS")).alias(
+                "shipped_date"
+            ),
+            F.col("o_totalprice").cast(AMOUNT).alias("freight"),
+            F.col("o_orderpriority").alias("ship_city"),
+            F.col("o_orderstatus").alias("ship_postal_code"),
+        )
+
     @cached_property
     def orders(self) -> DataFrame:
+        """Order headers with the customer's nation as delivery place, its sales person and
+        the region's shipper."""
         customer = self.table("customer").select("c_custkey", "c_nationkey")
-        ordered = F.col("o_orderdate")
         return (
-            self.table("orders")
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+            self.order_headers.join(customer, F.col("customer_id") == F.col("c_custkey"), "left")
             .join(self.places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select(
-                F.col("o_orderkey").alias("order_id"),
-                F.col("o_custkey").alias("customer_id"),
+                *self.order_headers.columns,
                 F.col("c_nationkey").alias("employee_id"),
-                ordered.alias("order_date"),
-                (ordered + F.expr("INTERVAL 30 DAYS")).alias("required_date"),
-                F.when(F.col("o_orderstatus") != "O", ordered + F.expr("INTERVAL 7 DAYS")).alias(
-                    "shipped_date"
-                ),
                 F.col("n_regionkey").alias("ship_via"),
-                F.col("o_totalprice").cast(AMOUNT).alias("freight"),
                 F.col("n_name").alias("ship_country"),
-                F.when(F.col("o_orderpriority") != "5-LOW", F.col("r_name")).alias("ship_region"),
-                F.col("o_orderpriority").alias("ship_city"),
-                F.col("o_orderstatus").alias("ship_postal_code"),
+                F.when(F.col("ship_city") != "5-LOW", F.col("r_name")).alias("ship_region"),
             )
         )
 
@@ -190,13 +198,19 @@ class Inputs:
         )
 
     # Delta ------------------------------------------------------------------
+    def before_delta(self, orders: DataFrame) -> DataFrame:
+        return orders.filter(F.col("order_date") < F.lit(DELTA_FROM).cast("timestamp_ntz"))
+
+    def in_delta(self, orders: DataFrame) -> DataFrame:
+        return orders.filter(F.col("order_date") >= F.lit(DELTA_FROM).cast("timestamp_ntz"))
+
     @cached_property
     def base_orders(self) -> DataFrame:
-        return self.orders.filter(F.col("order_date") < F.lit(DELTA_FROM).cast("timestamp_ntz"))
+        return self.before_delta(self.orders)
 
     @cached_property
     def delta_orders(self) -> DataFrame:
-        return self.orders.filter(F.col("order_date") >= F.lit(DELTA_FROM).cast("timestamp_ntz"))
+        return self.in_delta(self.orders)
 
     @cached_property
     def base_customers(self) -> DataFrame:
@@ -236,7 +250,7 @@ class Inputs:
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
         return {
-            "date": star.build_dim_date(self.orders),
+            "date": star.build_dim_date(self.order_headers),
             "geography": self.dim_geography,
             "customer": self.dim_customer,
             "product": self.dim_product,
@@ -246,8 +260,18 @@ class Inputs:
 
     @cached_property
     def sales(self) -> DataFrame:
-        """The columns of the fact that metrics and the sales product read: lines with the
-        order's customer, delivery nation and day."""
+        """The columns of the fact that the metrics read: lines with the order's customer
+        and day."""
+        headers = self.table("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_key"),
+            date_key(F.to_date("o_orderdate")).alias("order_date_key"),
+        )
+        return self._sold(headers)
+
+    @cached_property
+    def placed_sales(self) -> DataFrame:
+        """The same with the delivery nation, for the sales product."""
         headers = (
             self.table("orders")
             .join(
@@ -261,13 +285,16 @@ class Inputs:
                 date_key(F.to_date("o_orderdate")).alias("order_date_key"),
             )
         )
+        return self._sold(headers)
+
+    def _sold(self, headers: DataFrame) -> DataFrame:
         gross = F.col("l_extendedprice").cast(AMOUNT)
         discount = F.col("l_discount").cast(DISCOUNT)
         lines = self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_key"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            *star.line_amounts(gross, discount, null_discount=0),
+            *line_amounts(gross, discount, null_discount=0),
         )
         return lines.hint("merge").join(headers, "order_id")
 

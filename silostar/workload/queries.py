@@ -217,7 +217,7 @@ def check_required_text(i: Inputs) -> DataFrame:
 @query
 def check_required_date(i: Inputs) -> DataFrame:
     rules = [ck.Rule(ck.REQUIRED_DATE, "tmp_orders", (c,)) for c in star.ORDER_DATES]
-    return _checked(i, {"tmp_orders": i.orders}, *rules)
+    return _checked(i, {"tmp_orders": i.order_headers}, *rules)
 
 
 @query
@@ -275,17 +275,19 @@ def latest_checks(i: Inputs) -> DataFrame:
 CUSTOMER_PROFILE = (
     "customer_id", "company_name", "contact_title", "city", "region", "country", "fax",
 )
-ORDER_PROFILE = ("order_id", "customer_id", "order_date", "shipped_date", "ship_country", "ship_city")
+ORDER_PROFILE = ("order_id", "customer_id", "order_date", "shipped_date", "ship_city")
 
 
 def _profiles(i: Inputs) -> DataFrame:
     customers = profile(
         i.customers, "tmp_customers", CUSTOMER_PROFILE, BATCH_TS, "profile", table_row=True
     )
-    orders = i.orders.withColumns({c: F.to_date(c) for c in ("order_date", "shipped_date")})
-    return customers.unionByName(
-        profile(orders, "tmp_orders", ORDER_PROFILE, BATCH_TS, "profile", table_row=True)
+    headers = i.order_headers.withColumns(
+        {c: F.to_date(c) for c in ("order_date", "shipped_date")}
     )
+    orders = profile(headers, "tmp_orders", ORDER_PROFILE, BATCH_TS, "profile", table_row=True)
+    places = profile(i.orders, "tmp_orders", ("ship_country",), BATCH_TS, "profile")
+    return customers.unionByName(orders).unionByName(places)
 
 
 @query
@@ -296,12 +298,13 @@ def profile_columns(i: Inputs) -> DataFrame:
 # Dimensions -----------------------------------------------------------------
 @query
 def dim_date(i: Inputs) -> DataFrame:
-    return star.build_dim_date(i.orders)
+    return star.build_dim_date(i.order_headers)
 
 
 @query
 def dim_date_extend(i: Inputs) -> DataFrame:
-    return star.extend_dim_date(star.build_dim_date(i.base_orders), i.delta_orders)
+    known = star.build_dim_date(i.before_delta(i.order_headers))
+    return star.extend_dim_date(known, i.in_delta(i.order_headers))
 
 
 def _geography(i: Inputs, orders: DataFrame) -> DataFrame:
@@ -343,8 +346,10 @@ def dim_product(i: Inputs) -> DataFrame:
 @query
 def surrogate_keys(i: Inputs) -> DataFrame:
     """Keys for the customers already known, then for the new ones after the highest."""
-    known = keys.assign_keys(i.base_customers.select("customer_id"), ["customer_id"], "customer_key")
-    fresh = merge.not_present(i.customers.select("customer_id"), known, ["customer_id"])
+    people = i.table("customer").select(F.col("c_custkey").alias("customer_id"), "c_mktsegment")
+    before = people.filter("c_mktsegment <> 'FURNITURE'").select("customer_id")
+    known = keys.assign_keys(before, ["customer_id"], "customer_key")
+    fresh = merge.not_present(people.select("customer_id"), before, ["customer_id"])
     return known.unionByName(
         keys.assign_keys(fresh, ["customer_id"], "customer_key", existing=known)
     )
@@ -373,7 +378,7 @@ def fact_lines(i: Inputs) -> DataFrame:
 def _delta_dims(i: Inputs) -> dict[str, DataFrame]:
     """Dimensions at the time of a delta that brings unknown shippers, places and days."""
     return i.dims | {
-        "date": star.build_dim_date(i.base_orders),
+        "date": star.build_dim_date(i.before_delta(i.order_headers)),
         "geography": i.geography(i.base_orders),
         "shipper": i.dims["shipper"].filter("shipper_id < 3"),
     }
@@ -388,7 +393,7 @@ def fact_lines_delta(i: Inputs) -> DataFrame:
 def fact_insert_ignore(i: Inputs) -> DataFrame:
     """Lines of all orders into a fact that holds those before the delta: known keys are
     ignored, and of several new lines with one key the lowest line number comes in."""
-    old = i.base_orders.select("order_id")
+    old = i.before_delta(i.order_headers).select("order_id")
     existing = i.order_details.join(old, "order_id", "left_semi")
     grain = ["order_id", "product_id"]
     order = [F.col(c) for c in ("line_number", "gross_amount", "quantity", "discount")]
@@ -398,7 +403,8 @@ def fact_insert_ignore(i: Inputs) -> DataFrame:
 @query
 def order_freight(i: Inputs) -> DataFrame:
     lines = i.order_details.select("order_id").join(
-        i.orders.select("order_id", F.col("freight").alias("order_freight_amount")), "order_id"
+        i.order_headers.select("order_id", F.col("freight").alias("order_freight_amount")),
+        "order_id",
     )
     return star.order_freight(lines)
 
@@ -475,7 +481,7 @@ def score_upsert(i: Inputs) -> DataFrame:
 # Publication ----------------------------------------------------------------
 def _dp01(i: Inputs) -> DataFrame:
     return publication.dp01_sales_geo_score(
-        i.sales, i.order_days, i.enriched_geography, i.dim_customer, i.customer_scores
+        i.placed_sales, i.order_days, i.enriched_geography, i.dim_customer, i.customer_scores
     )
 
 
@@ -563,7 +569,7 @@ def dash_recent_checks(i: Inputs) -> DataFrame:
 @query
 def dash_display(i: Inputs) -> DataFrame:
     """Order amounts and event times as reports show them."""
-    return i.orders.select(
+    return i.order_headers.select(
         "order_id",
         display.display_currency(F.col("freight")).alias("freight"),
         display.display_number(F.col("freight")).alias("amount"),
