@@ -755,14 +755,20 @@ CTES["dp02_e"] = """
            CAST(coalesce(sum(registros_procesados), 0) AS BIGINT) AS registros_procesados_total,
            min(fecha_inicio) AS primera_ejecucion, max(fecha_fin) AS ultima_ejecucion
     FROM event_log GROUP BY ALL"""
-CTES["dp02_p"] = """
-    SELECT tabla, count(DISTINCT columna) AS columnas_perfiladas,
-           max(total_filas) AS total_filas_maximo,
-           CAST(coalesce(sum(nulos), 0) AS BIGINT) AS nulos_total,
-           CAST(coalesce(sum(valores_distintos), 0) AS BIGINT) AS valores_distintos_total,
-           CAST(coalesce(sum(outliers_detectados), 0) AS BIGINT) AS outliers_total,
-           max(fecha) AS ultima_fecha
-    FROM profiles GROUP BY tabla"""
+
+
+def _dp02_profiles(source: str) -> str:
+    return f"""
+        SELECT tabla, count(DISTINCT columna) AS columnas_perfiladas,
+               max(total_filas) AS total_filas_maximo,
+               CAST(coalesce(sum(nulos), 0) AS BIGINT) AS nulos_total,
+               CAST(coalesce(sum(valores_distintos), 0) AS BIGINT) AS valores_distintos_total,
+               CAST(coalesce(sum(outliers_detectados), 0) AS BIGINT) AS outliers_total,
+               max(fecha) AS ultima_fecha
+        FROM {source} GROUP BY tabla"""
+
+
+CTES["dp02_p"] = _dp02_profiles("profiles")
 ORACLE["dp02_checks"] = sql("SELECT * FROM dp02_c")
 _RAW_LOG = "(SELECT * FROM check_log WHERE nombre_script = 'check_raw')"
 ORACLE["dp02_step_checks"] = sql(
@@ -772,11 +778,13 @@ ORACLE["dp02_step_checks"] = sql(
 )
 ORACLE["dp02_events"] = sql("SELECT * FROM dp02_e")
 ORACLE["dp02_profiles"] = sql("SELECT * FROM dp02_p")
-ORACLE["dp02_profiles_default"] = f"""
-    SELECT 'sin_perfilado_disponible' AS tabla, CAST(0 AS BIGINT) AS columnas_perfiladas,
-           CAST(0 AS BIGINT) AS total_filas_maximo, CAST(0 AS BIGINT) AS nulos_total,
-           CAST(0 AS BIGINT) AS valores_distintos_total, CAST(0 AS BIGINT) AS outliers_total,
-           {BATCH} AS ultima_fecha"""
+_ODD = "(SELECT * FROM profiles WHERE nulos = total_filas AND valores_distintos > 0)"
+ORACLE["dp02_profiles_default"] = sql(
+    f"""{_dp02_profiles(_ODD)}
+        UNION ALL
+        SELECT 'sin_perfilado_disponible', 0, 0, 0, 0, 0, {BATCH}
+        WHERE NOT EXISTS (SELECT * FROM {_ODD})"""
+)
 
 # Dashboards -----------------------------------------------------------------
 ORACLE["dash_kpis"] = sql(

@@ -507,16 +507,15 @@ def dp02_events(i: Inputs) -> DataFrame:
 
 @query
 def dp02_profiles(i: Inputs) -> DataFrame:
-    now = history.timestamp(BATCH_TS)
-    return publication.dp02_profiles_or_default(_profiles(i), now)
+    return publication.dp02_profiles(_profiles(i))
 
 
 @query
 def dp02_profiles_default(i: Inputs) -> DataFrame:
-    """The summary of profiles none of which is of a published table."""
-    now = history.timestamp(BATCH_TS)
-    none = _profiles(i).filter(F.col("tabla").startswith("dp0"))
-    return publication.dp02_profiles_or_default(none, now)
+    """The summary of the profiled columns that are all null and yet have values: none, so
+    the row that says so."""
+    odd = _profiles(i).filter("nulos = total_filas AND valores_distintos > 0")
+    return publication.dp02_profiles_or_default(odd, history.timestamp(BATCH_TS))
 
 
 # Dashboards -----------------------------------------------------------------
