@@ -18,7 +18,8 @@ def display_currency(c: Column) -> Column:
 
 
 def display_time(c: Column) -> Column:
-    """ISO time; microseconds only when there are any."""
-    whole = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    exact = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.coalesce(F.when(exact.endswith(".000000"), whole).otherwise(exact), F.lit(""))
+    """ISO time; six digits of fraction, only when there is one."""
+    text = c.cast("string")
+    return F.coalesce(
+        F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text), F.lit("")
+    )

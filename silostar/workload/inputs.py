@@ -379,7 +379,7 @@ class Inputs:
             F.when(kind != "view", kind).alias("columna"),
             F.when(F.col("value") < 50, "NOT_NULL").otherwise("PK_NULOS").alias("tipo_chequeo"),
             F.when(kind == "signup", "check_raw").otherwise("check_keys").alias("nombre_script"),
-            F.date_trunc("day", "ts").cast("timestamp_ntz").alias("fecha"),
+            F.to_date("ts").cast("timestamp_ntz").alias("fecha"),
             F.lit(1000).cast("bigint").alias("total_filas_evaluadas"),
             F.floor("value").cast("bigint").alias("registros_afectados"),
             (F.col("value") / 1000).alias("indicador_calculado"),
