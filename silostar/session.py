@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,13 +43,16 @@ def batch_timestamp() -> datetime:
 
 
 def cut_lineage(df: DataFrame, folder: str) -> DataFrame:
-    """Materialise a frame that several outputs of one step read.
+    """Materialise a frame that several outputs of one step read, as a written table.
 
-    A reliable checkpoint, so the rows survive the loss of executors. It goes to the folder
-    the cluster names in spark.checkpoint.dir; ``folder``, which must be on shared storage,
-    is only used where none is named.
+    The rows survive the loss of executors, and Spark knows their size: joins with a small
+    batch are planned as broadcasts of the batch, where a checkpoint would keep the estimate
+    of the joins it came from. The table goes to the folder the cluster names in
+    spark.checkpoint.dir; ``folder``, which must be on shared storage, is only used where
+    none is named. It is left there, like a checkpoint, for the cluster to clean up.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", folder))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", folder).rstrip("/")
+    path = f"{root}/silostar-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

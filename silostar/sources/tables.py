@@ -45,7 +45,7 @@ class Warehouse:
     # Reading ----------------------------------------------------------------
     @property
     def checkpoints(self) -> str:
-        """Shared folder for checkpoints where the cluster names none."""
+        """Shared folder for intermediate tables where the cluster names none."""
         return f"{self.root}/_checkpoints"
 
     def reload(self) -> None:

@@ -3,6 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from silostar.operators import history, keys, merge, ranking
+from silostar.session import cut_lineage
 
 T1, T2, T3 = (datetime(2024, 1, d) for d in (1, 2, 3))
 
@@ -45,6 +46,30 @@ def test_insert_new(frame):
     assert rows(merge.insert_new(new.select("k"), target, ["k"])) == [(2,), (3,)]
 
 
+def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
+    def table(name, n):
+        spark.range(n).selectExpr("id AS k", "id AS v").write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    target = table("target", 10_000)
+    batch = cut_lineage(table("batch", 100).join(table("more", 100), ["k", "v"]), str(tmp_path))
+    lines = merge.not_present(batch, target, ["k"])._jdf.queryExecution().executedPlan()
+    text = lines.toString().splitlines()
+    semi = next(i for i, line in enumerate(text) if "LeftSemi" in line)
+    scan = next(i for i, line in enumerate(text) if i > semi and "FileScan" in line)
+    assert "BroadcastHashJoin" in text[semi]
+    assert not any("Exchange" in line for line in text[semi:scan])
+    assert "ReadSchema: struct<k:bigint>" in text[scan]
+
+
+def test_intermediate_tables_go_where_the_cluster_says(spark, frame, tmp_path):
+    folder = spark.conf.get("spark.checkpoint.dir", str(tmp_path))
+    kept = cut_lineage(frame("a int", (1,)), str(tmp_path))
+    assert rows(kept) == [(1,)]
+    assert all(folder in f for f in kept.inputFiles())
+    assert rows(cut_lineage(frame("a int").limit(0), str(tmp_path))) == []
+
+
 def test_scd1_update(frame):
     dim = frame("k int, a string, b string", (1, "x", "p"), (2, "y", "q"))
     changed = frame("k int, a string, b string", (1, None, "z"), (9, "n", "n"))
