@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from silostar.workload.oracle import ORACLE
+from silostar.workload.queries import QUERIES
 from compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,11 +19,11 @@ def database():
     return connect(FOLDER)
 
 
-def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+def test_every_query_of_the_warehouse_has_sql():
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, database, name):
     assert differences(entry.queries()[name](spark, FOLDER), database, entry.oracle_sql()[name]) == []
 
