@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silostar.llm import packing, token_counts, url_filter
+from silostar.llm import license_scan, packing, secret_scan, token_counts, url_filter
 from silostar.llm.common import new_path, small_batches, table
 
 
@@ -31,4 +31,41 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), cache)
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op6_url_filter, op9_token_counts)}
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    words = F.transform("places", lambda p: p["word"].cast("long"))
+    base = F.transform("places", lambda p: p["label"])
+    added = F.transform("spans", lambda s: s["label"])
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, added)).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owners are the sources; an owner's repositories are its languages."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, repository=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
+    count = lambda spans, test: F.size(F.filter(spans, test)).cast("long")
+    of = lambda kind: lambda s: s["kind"] == kind
+    return found.select(
+        "doc_id",
+        *(count("base", of(kind)).alias(f"n_{kind}") for kind in secret_scan.BASE),
+        F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+        count("spans", lambda s: s["live"]).alias("n_live"),
+        count("spans", lambda s: ~s["live"]).alias("n_copied"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op3_packing, op6_url_filter, op8_license_scan, op9_token_counts, op10_secret_scan)
+}
