@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silostar.llm import license_scan, packing, secret_scan, token_counts, url_filter
+from silostar.llm import license_scan, minhash, packing, secret_scan, token_counts, url_filter
 from silostar.llm.common import new_path, small_batches, table
 
 
@@ -20,6 +20,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(small_batches(spark), sf_dir, "documents")
+    return minhash.duplicates(docs, width=4, similarity=0.8)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.RULES)
 
@@ -67,5 +72,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_packing, op6_url_filter, op8_license_scan, op9_token_counts, op10_secret_scan)
+    for f in (op3_packing, op4_minhash_dedup, op6_url_filter, op8_license_scan, op9_token_counts, op10_secret_scan)
 }
