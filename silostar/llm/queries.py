@@ -10,10 +10,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silostar.llm import license_scan, minhash, packing, secret_scan, token_counts, url_filter
+from silostar.llm import license_scan, minhash, packing, quality, secret_scan, token_counts, url_filter
 from silostar.llm.common import new_path, small_batches, table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(small_batches(spark), sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(small_batches(spark), sf_dir, "documents")
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -72,5 +77,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_packing, op4_minhash_dedup, op6_url_filter, op8_license_scan, op9_token_counts, op10_secret_scan)
+    for f in (op1_quality, op3_packing, op4_minhash_dedup, op6_url_filter, op8_license_scan, op9_token_counts, op10_secret_scan)
 }
