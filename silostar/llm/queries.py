@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silostar.llm import license_scan, minhash, packing, quality, secret_scan, token_counts, url_filter
+from silostar.llm import langid, license_scan, minhash, packing, quality, secret_scan, token_counts, url_filter
 from silostar.llm.common import new_path, small_batches, table
 
 
@@ -30,6 +30,16 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.duplicates(docs, width=4, similarity=0.8)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of the pages. Likelihoods are learnt from the labelled documents."""
+    docs = table(small_batches(spark), sf_dir, "documents")
+    html, url = F.col("html"), F.col("url")
+    return langid.identify(
+        table(spark, sf_dir, "pages"), langid.fit(docs, "doc_id", "text", "lang"), "page_id",
+        langid.text_of(html), langid.declared_in(html), langid.host_of(url), langid.suffix_of(url),
+    )
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.RULES)
 
@@ -77,5 +87,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality, op3_packing, op4_minhash_dedup, op6_url_filter, op8_license_scan, op9_token_counts, op10_secret_scan)
+    for f in (
+        op1_quality, op3_packing, op4_minhash_dedup, op5_language_id, op6_url_filter,
+        op8_license_scan, op9_token_counts, op10_secret_scan,
+    )
 }
