@@ -10,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silostar.llm import langid, license_scan, minhash, packing, quality, secret_scan, token_counts, url_filter
+from silostar.llm import (
+    embedding_dedup, langid, license_scan, minhash, packing, quality, secret_scan, token_counts,
+    url_filter,
+)
 from silostar.llm.common import new_path, small_batches, table
 
 
@@ -19,6 +22,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.duplicates(table(small_batches(spark), sf_dir, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(small_batches(spark), sf_dir, "documents")
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -88,7 +95,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality, op3_packing, op4_minhash_dedup, op5_language_id, op6_url_filter,
+        op1_quality, op2_embedding_dedup, op3_packing, op4_minhash_dedup, op5_language_id, op6_url_filter,
         op8_license_scan, op9_token_counts, op10_secret_scan,
     )
 }
