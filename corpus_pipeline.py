@@ -1,25 +1,102 @@
-"""From documents to training sequences, a stage at a time."""
+"""From documents to training sequences, a stage at a time.
+
+Each stage works on all that its predecessor kept and returns the columns of documents; the
+last one returns the pieces of the packed sequences. Rows are told apart by their id and their
+text, so that null and repeated ids are safe.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from silostar.llm import packing
+from silostar import session
+from silostar.llm import langid, minhash, packing, quality, secret_scan
 from silostar.llm.common import small_batches, stored, table
 
 
+def _ready(spark: SparkSession) -> SparkSession:
+    return small_batches(session.configure(spark))
+
+
+def _without(docs: DataFrame, row: Column, rejected: DataFrame, name: str) -> DataFrame:
+    """``docs`` whose ``row`` is not among the rejected. These are written first: the planner
+    then knows their size, and does not move the texts if they are few."""
+    gone = stored(rejected.select("row").distinct(), name)
+    return docs.withColumn("row", row).join(gone, "row", "left_anti").select(docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the fixed rules and the model go on."""
+    labels = table(_ready(spark), sf_dir, "labels")
+    return quality.filter_rows(docs, quality.fit(docs, labels))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognised language go. Their declared language is ``lang``, their
+    host ``source``; they have no address."""
+    _ready(spark)
+    row = F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
+    model = langid.fit(docs, "doc_id", "text", "lang")
+    found = langid.identify(
+        docs.withColumn("row", row), model, "row", F.col("text"), F.col("lang"), F.col("source"),
+        F.lit(None).cast("string"),
+    )
+    return _without(docs, row, found.filter(~F.col("accepted")), "no-language")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: that with the smallest id. Of
+    rows that repeat this id one stays."""
+    _ready(spark)
+    found = stored(minhash.duplicates(docs, width=5, similarity=0.8), "near-duplicates")
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("row"))
+    kept = _without(docs, F.col("doc_id"), gone, "duplicate-ids")
+    again = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    again = stored(again.select("doc_id"), "repeated-ids")
+    once = kept.join(again, "doc_id", "left_anti")
+    some = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.select(docs.columns).unionByName(some.select(docs.columns))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Live-looking credentials are masked in the texts; all documents go on."""
+    _ready(spark)
+    found = secret_scan.scan(docs, repository=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
+    live = found.filter(F.exists("spans", lambda s: s["live"])).select(
+        F.col("doc_id").alias("id"), "text_hash", "spans"
+    )
+    live = stored(live.dropDuplicates(["id", "text_hash"]), "live-secrets")
+    joined = docs.join(
+        live, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("text_hash")),
+        "left",
+    )
+    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(
+        secret_scan.masked(F.col("text"), F.col("spans"))
+    )
+    changed = {"text": text, "n_chars": F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length(text))}
+    return joined.select(*(changed.get(c, F.col(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All kept documents as sequences of token ids."""
+    """All documents as sequences of token ids."""
+    _ready(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("language ID", language_id),
+    ("MinHash near-dedup", near_dedup),
+    ("secret scans", secret_scans),
+    ("packing", pack),
+]
 ORACLE_SQL = None  # a trained model decides in the first stage
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(small_batches(spark), sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,7 +12,56 @@ SELECT page_id, url,
 FROM pages
 """
 
+_USABLE = """
+SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+"""
+
 ORACLE = {
+    "op2_embedding_dedup": f"""
+WITH RECURSIVE usable AS ({_USABLE}),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.98 END),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+groups AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN groups USING (vec_id) LEFT JOIN counts USING (vec_id)
+""",
+    "op4_minhash_dedup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents WHERE text IS NOT NULL),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
+           THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))
+           WHEN len(w) > 0 THEN ['short ' || array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+both_ AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM both_ JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+groups AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN groups USING (doc_id) LEFT JOIN sizes USING (doc_id)
+""",
     "op6_url_filter": f"""
 WITH parts AS ({_URL}),
 ruled AS (

@@ -214,3 +214,22 @@ def judge(
                      "n_repeat_words long, base_failed boolean, probability double, kept boolean")
         .withColumnRenamed("key", key)
     )
+
+
+def filter_rows(
+    df: DataFrame, model: Model, text: str = "text", keep_from: float = KEEP_FROM
+) -> DataFrame:
+    """The rows of ``df`` that ``judge`` keeps, with all their columns. No shuffle."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, fitted = WordHashes(), shared.value
+        for batch in batches:
+            keep = []
+            for text_ in batch[text]:
+                figures, words = base_figures(text_, hashes)
+                failed = base_failed(figures[0], figures[4])
+                keep.append(not failed and fitted.probability(text_, words) >= keep_from)
+            yield batch[keep]
+
+    return df.mapInPandas(run, df.schema)

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silostar.llm import (
-    embedding_dedup, langid, license_scan, minhash, packing, quality, secret_scan, token_counts,
-    url_filter,
+    embedding_dedup, langid, license_scan, minhash, packing, piece_sampling, quality, secret_scan,
+    token_counts, url_filter,
 )
 from silostar.llm.common import new_path, small_batches, table
 
@@ -58,6 +58,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), cache)
 
 
+def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document, and whether they decode to its text."""
+    docs = table(small_batches(spark), sf_dir, "documents")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    pieces = piece_sampling.decode(piece_sampling.encode(docs, model), model)
+    return pieces.select(
+        "doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(table(spark, sf_dir, "documents"))
     words = F.transform("places", lambda p: p["word"].cast("long"))
@@ -96,6 +107,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality, op2_embedding_dedup, op3_packing, op4_minhash_dedup, op5_language_id, op6_url_filter,
-        op8_license_scan, op9_token_counts, op10_secret_scan,
+        op7_piece_sampling, op8_license_scan, op9_token_counts, op10_secret_scan,
     )
 }
