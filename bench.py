@@ -13,6 +13,7 @@ import time
 HEADLINES = (
     "dp01_sales_geo_score",
     "fact_lines",
+    "fact_lines_delta",
     "fact_insert_ignore",
     "customer_sales_metrics",
     "product_sales_metrics",

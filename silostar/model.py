@@ -15,7 +15,7 @@ ID = "bigint"  # identifiers outgrow 32 bits long before the rest does
 TS = "timestamp_ntz"
 # Wide enough that price * quantity * (1 - discount) keeps every digit.
 MONEY = "decimal(12,4)"
-RATIO = "decimal(8,6)"
+RATIO = "decimal(12,10)"
 
 
 @dataclass(frozen=True)

@@ -67,27 +67,31 @@ def scd2_changes(
     )
 
 
-def scd2_merge(
-    history: DataFrame, opened: DataFrame, keys: Sequence[str], ts: datetime
+def scd2_closed(
+    current: DataFrame, opened: DataFrame, keys: Sequence[str], ts: datetime
 ) -> DataFrame:
-    """Close the open versions that ``opened`` replaces, and add ``opened``."""
-    keys = list(keys)
-    replaced = opened.select(*keys, F.lit(True).alias("_replaced"))
-    closing = F.col("_replaced") & (F.col(CURRENT) == 1)
-    columns = {
-        VALID_TO: F.when(closing, timestamp(ts)).otherwise(F.col(VALID_TO)),
-        CURRENT: F.when(closing, 0).otherwise(F.col(CURRENT)),
-    }
-    kept = history.join(replaced, keys, "left").select(
-        *[columns[c].alias(c) if c in columns else F.col(c) for c in history.columns]
+    """The open versions that ``opened`` replaces, closed."""
+    closing = {VALID_TO: timestamp(ts), CURRENT: F.lit(0)}
+    return current.join(opened.select(*keys), list(keys), "left_semi").select(
+        *[closing[c].alias(c) if c in closing else F.col(c) for c in current.columns]
     )
-    return kept.unionByName(opened, allowMissingColumns=True)
+
+
+def scd2_open(current: DataFrame, opened: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The open versions after ``opened`` has replaced some and added others."""
+    kept = current.join(opened.select(*keys), list(keys), "left_anti")
+    return kept.select(*current.columns).unionByName(opened, allowMissingColumns=True)
 
 
 def scd2_apply(
     history: DataFrame, incoming: DataFrame, keys: Sequence[str], attributes: Sequence[str],
     ts: datetime, extra: Sequence[str] = (),
 ) -> DataFrame:
-    """The whole history after a batch (one row per key in ``incoming``)."""
+    """The whole history after a batch (one row per key in ``incoming``). A warehouse that
+    keeps open and closed versions apart writes the former and appends the newly closed."""
     opened = scd2_changes(history, incoming, keys, attributes, ts, extra)
-    return scd2_merge(history, opened, keys, ts)
+    current, past = history.filter(F.col(CURRENT) == 1), history.filter(F.col(CURRENT) != 1)
+    closed = scd2_closed(current, opened, keys, ts)
+    return past.unionByName(closed).unionByName(
+        scd2_open(current, opened, keys), allowMissingColumns=True
+    )

@@ -13,11 +13,12 @@ def assign_keys(
     new: DataFrame,
     natural_key: Sequence[str],
     key: str,
-    existing: DataFrame | None = None,
+    existing: DataFrame | int | None = None,
     bucket_digits: int = 3,
     dense: bool = True,
 ) -> DataFrame:
-    """Number new rows after the highest key already given out.
+    """Number new rows after the highest key already given out: that of the table
+    ``existing``, or the number itself where it is known.
 
     Rows are put in 16**bucket_digits buckets by the hash of their natural key and numbered
     inside each bucket, so no task sees more than a bucket. The buckets are even because
@@ -35,7 +36,9 @@ def assign_keys(
     placed = bucketed.withColumn("_place", place.cast("bigint"))
 
     last = F.lit(0).cast("bigint")
-    if existing is not None:
+    if isinstance(existing, int):
+        last = F.lit(existing).cast("bigint")
+    elif existing is not None:
         last = F.coalesce(existing.select(F.max(key)).scalar(), last)
     if dense:
         placed = placed.join(F.broadcast(_offsets(bucketed)), "_bucket")

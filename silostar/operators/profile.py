@@ -31,19 +31,17 @@ def _row(
     ]
 
 
-def _exact(df: DataFrame, column: str) -> DataFrame:
-    """All figures of one column from its value counts. A scan of that column only, combined
-    per value before the shuffle: no row is multiplied, and a frequent value (or null)
-    crosses as one row per task."""
-    value, n = F.col(column), F.col("_n")
-    counts = df.groupBy(column).agg(F.count("*").alias("_n"))
-    return counts.agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("nulls"),
-        F.count(value).alias("distinct"),
-        F.min(value).alias("low"),
-        F.max(value).alias("high"),
-    )
+def _distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The exact number of distinct values of each column: a scan of that column alone,
+    combined per value before the shuffle, so that a frequent value crosses as one row per
+    task and no row is multiplied."""
+    parts = [
+        df.groupBy(c).agg(F.lit(1).alias("_n")).agg(F.count(c).alias("distinct")).select(
+            F.lit(i).alias("i"), "distinct"
+        )
+        for i, c in enumerate(columns)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def profile(
@@ -55,28 +53,24 @@ def profile(
     ``approx=True`` estimates the distinct values and needs a single scan without a shuffle.
     ``table_row`` adds a row for the table itself. Lowest and highest text are binary.
     """
-    parts = []
+    aggregates, rows = [F.count("*").alias("total")], []
+    for i, c in enumerate(columns):
+        distinct = F.approx_count_distinct(c) if approx else F.lit(None).cast("bigint")
+        aggregates += [
+            F.count_if(F.col(c).isNull()).alias(f"n{i}"), distinct.alias(f"d{i}"),
+            F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}"),
+        ]
+        figures = [F.col("total"), *(F.col(f"{k}{i}") for k in "ndlh")]
+        rows.append(F.struct(F.lit(i).alias("i"), *_row(table, c, step, batch_ts, *figures, note)))
     if table_row:
         none = F.lit(None)
-        parts.append(
-            df.agg(F.count("*").alias("total")).select(
-                *_row(table, None, step, batch_ts, F.col("total"), none, none, none, none, note)
-            )
-        )
-    if approx:
-        aggregates, rows = [F.count("*").alias("total")], []
-        for i, c in enumerate(columns):
-            aggregates += [
-                F.count_if(F.col(c).isNull()).alias(f"n{i}"),
-                F.approx_count_distinct(c).alias(f"d{i}"),
-                F.min(c).alias(f"l{i}"),
-                F.max(c).alias(f"h{i}"),
-            ]
-            figures = [F.col("total"), *(F.col(f"{k}{i}") for k in "ndlh")]
-            rows.append(F.struct(*_row(table, c, step, batch_ts, *figures, note)))
-        parts.append(df.agg(*aggregates).select(F.inline(F.array(*rows))))
-    else:
-        for c in columns:
-            figures = [F.col(k) for k in ("total", "nulls", "distinct", "low", "high")]
-            parts.append(_exact(df, c).select(*_row(table, c, step, batch_ts, *figures, note)))
-    return reduce(DataFrame.unionByName, parts)
+        figures = [F.col("total"), none, none, none, none]
+        rows.append(F.struct(F.lit(-1).alias("i"), *_row(table, None, step, batch_ts, *figures, note)))
+    # All figures but exact distinct values come from one scan.
+    found = df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    if approx or not columns:
+        return found.drop("i")
+    names = [c for c in found.columns if c != "i"]
+    counted = found.unionByName(_distinct(df, columns), allowMissingColumns=True)
+    rows_ = counted.groupBy("i").agg(*[F.max(c).alias(c) for c in (*names, "distinct")])
+    return rows_.withColumn("valores_distintos", F.col("distinct")).select(*names)

@@ -12,7 +12,7 @@ from silostar.functions.columns import blank_to_null
 from silostar.model import COUNTRY_ALIASES, ISO_FALLBACK
 from silostar.operators.history import timestamp
 from silostar.operators.merge import ensure_columns, scd1_update, upsert
-from silostar.operators.ranking import first_per_key, top_per_key
+from silostar.operators.ranking import first_per_key
 
 GEO_ATTRIBUTES = {
     "country_iso_code": "string",
@@ -71,7 +71,7 @@ def best_scores(scores: DataFrame, dim_customer: DataFrame) -> DataFrame:
     present = scores.filter(F.col("score").isNotNull() & (F.col("score") != "")).select(
         "customer_id", F.col("score").cast("int").alias("score")
     )
-    best = top_per_key(present, ["customer_id"], "score")
+    best = present.groupBy("customer_id").agg(F.max("score").alias("score"))
     return best.join(dim_customer.select("customer_id", "customer_key"), "customer_id").select(
         "customer_key", "customer_id", "score"
     )

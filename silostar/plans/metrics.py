@@ -28,7 +28,7 @@ def customer_sales_metrics(
         *[F.sum(c).alias(c) for c in _AMOUNTS],
     )
     # Orders without a known day keep their lines but do not count as orders.
-    days = F.broadcast(dim_date.select("date_key", "full_date"))
+    days = dim_date.select("date_key", "full_date")
     dated = F.col("full_date").isNotNull()
     net = F.when(dated, F.col("net_amount"))
     return (
@@ -53,9 +53,7 @@ def product_sales_metrics(
 ) -> DataFrame:
     """Per product with sales: orders, lines, quantity, amounts, mean line, first and last
     day. Products are joined after the aggregate, as one row each."""
-    days = F.broadcast(
-        dim_date.select(F.col("date_key").alias("order_date_key"), "full_date")
-    )
+    days = dim_date.select(F.col("date_key").alias("order_date_key"), "full_date")
     return (
         fact.join(days, "order_date_key")
         .groupBy("product_key")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from silostar.functions.columns import (
     NO_COUNTRY,
@@ -34,8 +35,9 @@ def dp01_sales_geo_score(
     """Sales by year, month, delivery country and score segment.
 
     Lines are first reduced to orders (grouping by all order-level keys, so the result does
-    not depend on an order having one customer). Lookups and the two distinct counts then
-    run on orders. Country attributes describe the country and are not part of the key, so
+    not depend on an order having one customer), and lookups run on orders. One shuffle
+    brings the orders of a customer in a cell together, where the first of them stands for
+    the customer; so only orders are left to be counted distinctly, and no row is copied. Country attributes describe the country and are not part of the key, so
     a place enriched later than others cannot split a cell; they join the finished cells.
     """
     orders = fact.groupBy(
@@ -58,14 +60,19 @@ def dp01_sales_geo_score(
         .join(scores.select("customer_key", "score"), "customer_key", "left")
         .select("customer_key", score_segment_order("score").alias("score_segment_order"))
     )
-    net, orders_in_cell = F.sum("net"), F.count_distinct("order_id")
-    cells = (
-        orders.join(F.broadcast(days), "order_date_key")
+    cell = ("anio", "mes", "country", "score_segment_order")
+    own = Window.partitionBy(*cell, "customer_key").orderBy("order_id")
+    placed = (
+        orders.join(days, "order_date_key")
         .join(places, "ship_geography_key")
         .join(segments, "customer_key")
-        .groupBy("anio", "mes", "country", "score_segment_order")
+        .withColumn("is_first", (F.row_number().over(own) == 1).cast("bigint"))
+    )
+    net, orders_in_cell = F.sum("net"), F.count_distinct("order_id")
+    cells = (
+        placed.groupBy(*cell)
         .agg(
-            F.count_distinct("customer_key").alias("clientes_distintos"),
+            F.sum("is_first").alias("clientes_distintos"),
             orders_in_cell.alias("ordenes"),
             F.sum("lines").alias("lineas_orden"),
             F.sum("quantity").cast("bigint").alias("cantidad_total"),

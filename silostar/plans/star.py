@@ -105,9 +105,6 @@ def denormalise_products(
     )
 
 
-build_dim_product = denormalise_products
-
-
 def build_dim_employee(employees: DataFrame, geography: DataFrame) -> DataFrame:
     key = "employee_geography_key"
     signature = geo_signature("country", "region", "city")
@@ -126,8 +123,7 @@ def resolve_orders(orders: DataFrame, dims: Mapping[str, DataFrame], how: str) -
     """Order headers with dimension keys instead of natural keys.
 
     Done once per order, before the lines are joined, so that the header lookups move
-    orders and not lines. The date dimension holds at most one row per calendar day, so it
-    is broadcast; the other sides are broadcast only if Spark's size check allows it.
+    orders and not lines. Sides are broadcast only if Spark's size check allows it.
     """
     place = [F.col(f"ship_{c}") for c in PLACE]
     headers = orders.select(
@@ -154,7 +150,7 @@ def resolve_orders(orders: DataFrame, dims: Mapping[str, DataFrame], how: str) -
             F.col("full_date").alias(column), F.col("date_key").alias(f"{column}_key")
         )
         kind = "left" if column == "shipped_date" else how
-        resolved = resolved.join(F.broadcast(day), column, kind)
+        resolved = resolved.join(day, column, kind)
     return resolved.select(
         "order_id", "customer_key", "employee_key", "shipper_key", "ship_geography_key",
         *[f"{c}_key" for c in ORDER_DATES], "order_freight_amount",
@@ -162,7 +158,8 @@ def resolve_orders(orders: DataFrame, dims: Mapping[str, DataFrame], how: str) -
 
 
 def build_fact(
-    lines: DataFrame, orders: DataFrame, dims: Mapping[str, DataFrame], mode: str = "strict"
+    lines: DataFrame, orders: DataFrame, dims: Mapping[str, DataFrame], mode: str = "strict",
+    headers: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines with dimension keys and amounts.
 
@@ -170,11 +167,15 @@ def build_fact(
     missing discount counts as 0. ``lenient`` (delta): only customer and product are
     needed, and a missing discount stays missing.
 
+    ``headers`` are the orders as ``resolve_orders`` gives them, if they were written before:
+    a small batch of known size is then broadcast, and the lines do not move.
+
     A ``gross_amount`` column of ``lines`` is taken as it is; otherwise it is price times
     quantity. Freight belongs to the order and repeats on each line: do not sum it.
     """
     strict = mode == "strict"
-    headers = resolve_orders(orders, dims, "inner" if strict else "left")
+    if headers is None:
+        headers = resolve_orders(orders, dims, "inner" if strict else "left")
     product = dims["product"].select("product_id", "product_key")
     if "gross_amount" in lines.columns:
         gross = F.col("gross_amount")
@@ -183,11 +184,8 @@ def build_fact(
     discount = F.col("discount")
     if strict:
         discount = F.coalesce(discount, F.lit(0).cast(lines.schema["discount"].dataType))
-    # Lines are the largest side and must not be the broadcast one, whatever their estimate;
-    # a merge join also leaves them partitioned by order for what follows.
     return (
-        lines.hint("merge")
-        .join(headers, "order_id")
+        lines.join(headers, "order_id")
         .join(product, "product_id")
         .select(
             "order_id", "product_id", "customer_key", "product_key", "employee_key",

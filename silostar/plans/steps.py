@@ -1,8 +1,12 @@
 """The loads from files to published products, step by step.
 
 Each step reads tables of the warehouse, writes its results as snapshots or appends, and
-logs an event per table written. A step that is run again after a failure gives the same
-tables: inserts leave out known keys and unchanged versions open nothing.
+logs an event per table written, all in one transaction: a step that fails has changed
+nothing, and may be run again. A step that is run again after it was done adds nothing:
+inserts leave out known keys and unchanged versions open nothing.
+
+A gate lets data pass that was checked as it is now: each run of checks notes the version of
+the tables that it looked at, and a table written since has to be checked again.
 """
 
 from __future__ import annotations
@@ -10,19 +14,20 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from functools import partial, reduce
+from functools import partial, reduce, wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from silostar import model
 from silostar.operators import checks as ck
 from silostar.operators import gates
 from silostar.operators.history import (
-    CURRENT,
     scd2_changes,
+    scd2_closed,
     scd2_init,
-    scd2_merge,
+    scd2_open,
     timestamp,
 )
 from silostar.operators.keys import assign_keys
@@ -30,12 +35,14 @@ from silostar.operators.merge import insert_new, scd1_update
 from silostar.operators.profile import profile
 from silostar.plans import dashboard, enrichment, metrics, publication, star
 from silostar.plans.staging import to_typed
-from silostar.session import batch_timestamp, cut_lineage
+from silostar.session import batch_timestamp
 from silostar.sources.delimited import read_country_attributes, read_scores, read_source
 from silostar.sources.tables import Warehouse, append_numbered, event, log_events
 
 # Tables, event kinds and step names ---------------------------
 EVENTS, CHECKS, PROFILES = "dqm_eventos", "dqm_validaciones", "dqm_perfilado"
+CHECKED = "dqm_versiones_chequeadas"
+CHANGES, PENDING = "dwm_cambios", "dwm_metricas_pendientes"
 DIM_DATE, DIM_GEOGRAPHY = "dwa_dim_date", "dwa_dim_geography"
 DIM_CUSTOMER, DIM_PRODUCT = "dwa_dim_customer", "dwa_dim_product"
 DIM_EMPLOYEE, DIM_SHIPPER = "dwa_dim_employee", "dwa_dim_shipper"
@@ -60,8 +67,11 @@ SCORE_TYPES = "customer_key bigint, customer_id string, score int, fecha_carga t
 GRAIN = ("order_id", "product_id")
 FACT_PARTITIONS = ("order_year", "order_month")
 FACT_BUCKET_DIGITS = 4  # the fact is the largest table: more, smaller buckets to number
-# Open versions apart from closed ones, so that a delta reads the open ones only.
-HISTORY_PARTITIONS = (CURRENT,)
+# Parts of a history: a delta reads and writes the open versions, and appends closed ones.
+OPEN, CLOSED = "open", "closed"
+CHECKED_TYPES = "tabla string, nombre_script string, version bigint"
+CHANGE_TYPES = "fecha timestamp_ntz, entidad string, clave string, cambio string"
+PENDING_TYPES = "entidad string, clave bigint"
 # ----------------------------------------------------------------------------
 
 
@@ -81,18 +91,18 @@ class Recorder:
         self.rows[table] = self.rows.get(table, 0) + rows
 
     def overwrite(
-        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), note=None
+        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), note=None, **options
     ) -> int:
         start = batch_timestamp()
-        rows = self.wh.overwrite(df, table, partition_by)
+        rows = self.wh.overwrite(df, table, partition_by, **options)
         self.note(table, start, rows, note)
         return rows
 
     def append(
-        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), note=None
+        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), note=None, **options
     ) -> int:
         start = batch_timestamp()
-        rows = self.wh.append(df, table, partition_by)
+        rows = self.wh.append(df, table, partition_by, **options)
         self.note(table, start, rows, note)
         return rows
 
@@ -101,6 +111,17 @@ class Recorder:
         return self.rows
 
 
+def atomic(step):
+    """All tables that the step writes change together, its events included, or none."""
+
+    @wraps(step)
+    def run(wh: Warehouse, *args, **kwargs):
+        with wh.transaction():
+            return step(wh, *args, **kwargs)
+
+    return run
+
+
 def _together(jobs: Iterable[Callable[[], object]]) -> None:
     """Run writes that do not depend on each other at the same time, so that small tables
     do not leave the cluster idle."""
@@ -113,9 +134,25 @@ def read_checks(wh: Warehouse) -> DataFrame:
     return wh.read(CHECKS, model.CHECK_SCHEMA)
 
 
-def _log_checks(wh: Warehouse, checked: DataFrame) -> None:
+def _log_checks(
+    wh: Warehouse, checked: DataFrame, step: str = "", tables: Iterable[str] = ()
+) -> None:
+    """Append check results, and the versions of the tables that they are about."""
+    seen = [(t, step, wh.version(t)) for t in sorted(set(tables))]
     order = ["nombre_script", "tabla", "columna", "tipo_chequeo"]
-    append_numbered(wh, checked, CHECKS, model.CHECK_SCHEMA, order)
+    with wh.transaction():
+        append_numbered(wh, checked, CHECKS, model.CHECK_SCHEMA, order)
+        if seen:
+            wh.append(wh.spark.createDataFrame(seen, CHECKED_TYPES).coalesce(1), CHECKED)
+
+
+def _gate_versions(wh: Warehouse, tables: Iterable[str], step: str) -> None:
+    """Each table was checked by the step as it is now (a row per table comes back)."""
+    own = wh.read(CHECKED, StructType.fromDDL(CHECKED_TYPES)).filter(F.col("nombre_script") == step)
+    seen = dict(own.groupBy("tabla").agg(F.max("version")).collect())
+    stale = sorted(t for t in set(tables) if seen.get(t) != wh.version(t))
+    if stale:
+        raise RuntimeError(f"load refused: changed since {step}: {', '.join(stale)}")
 
 
 def _stamped(df: DataFrame, ts: datetime, column: str = "fecha_carga") -> DataFrame:
@@ -123,11 +160,13 @@ def _stamped(df: DataFrame, ts: datetime, column: str = "fecha_carga") -> DataFr
 
 
 # Acquisition ----------------------------------------------------------------
+@atomic
 def acquire(
     wh: Warehouse, folder: str, sources: Iterable[model.Source], step: str = "acquire",
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> dict[str, int]:
-    """Files to raw tables, all text."""
+    """Files to raw tables, all text. A file with line breaks inside of fields raises, unless
+    ``multi_line`` is set; it is then read by one task."""
     record = Recorder(wh, step, RAW_LOAD)
 
     def load(source: model.Source) -> None:
@@ -144,9 +183,10 @@ def check_raw(
     sources = list(sources)
     tables = {s.raw_table: wh.read(s.raw_table) for s in sources}
     rules = [r for s in sources for r in ck.raw_rules(s)]
-    _log_checks(wh, ck.run_checks(tables, rules, ts, step))
+    _log_checks(wh, ck.run_checks(tables, rules, ts, step), step, tables)
 
 
+@atomic
 def profile_tables(
     wh: Warehouse, columns: Mapping[str, Sequence[str]], ts: datetime, step: str,
     table_row: bool = False, approx: bool = False,
@@ -168,13 +208,16 @@ def profile_raw(
     profile_tables(wh, columns, ts, step, approx=approx)
 
 
+@atomic
 def stage(
     wh: Warehouse, sources: Iterable[model.Source], step: str = "stage",
     check_step: str = "check_raw",
 ) -> dict[str, int]:
     """Raw tables to typed ones, if their checks allow it and the targets are empty."""
     sources = list(sources)
-    gates.gate_tables(read_checks(wh), [s.raw_table for s in sources], [check_step])
+    raw = [s.raw_table for s in sources]
+    gates.gate_tables(read_checks(wh), raw, [check_step])
+    _gate_versions(wh, raw, check_step)
     for source in sources:
         if wh.exists(source.staged_table):
             gates.gate_empty(wh.read(source.staged_table), source.staged_table)
@@ -194,7 +237,7 @@ def check_keys(
     rules = ck.foreign_key_rules(keys)
     names = {t for r in rules for t in (r.table, *r.parents)}
     tables = {t: wh.read(t) for t in names}
-    _log_checks(wh, ck.run_checks(tables, rules, ts, step))
+    _log_checks(wh, ck.run_checks(tables, rules, ts, step), step, names)
 
 
 # Warehouse ------------------------------------------------------------------
@@ -207,7 +250,8 @@ def check_staged(
     names = {t for r in rules for t in (r.table, *r.parents)}
     tables = {t: wh.read(t) for t in names}
     checked = ck.run_checks(tables, rules, ts, step)
-    _log_checks(wh, checked.unionByName(ck.earlier_errors(read_checks(wh), earlier, ts, step)))
+    earlier_errors = ck.earlier_errors(read_checks(wh), earlier, ts, step)
+    _log_checks(wh, checked.unionByName(earlier_errors), step, names)
 
 
 def _dims(wh: Warehouse) -> dict[str, DataFrame]:
@@ -233,11 +277,13 @@ def _fact_layout(fact: DataFrame) -> DataFrame:
     ).hint("rebalance", *FACT_PARTITIONS)
 
 
+@atomic
 def load_warehouse(
     wh: Warehouse, ts: datetime, step: str = "load_warehouse", check_step: str = "check_staged"
 ) -> dict[str, int]:
     """First load: six dimensions, the fact, two histories and two metric tables."""
     gates.gate_step(read_checks(wh), check_step, REQUIRED_CHECKS)
+    _gate_versions(wh, {t for r in ck.warehouse_rules() for t in (r.table, *r.parents)}, check_step)
     targets = (
         DIM_DATE, DIM_GEOGRAPHY, DIM_CUSTOMER, DIM_PRODUCT, DIM_EMPLOYEE, DIM_SHIPPER, FACT,
         CUSTOMER_HISTORY, PRODUCT_HISTORY, CUSTOMER_METRICS, PRODUCT_METRICS,
@@ -253,7 +299,7 @@ def load_warehouse(
     record.overwrite(star.build_dim_date(orders), DIM_DATE)
     places = star.build_dim_geography(star.source_geo(customers, employees, orders))
     keyed = assign_keys(places, ["geography_signature"], "geography_key")
-    record.overwrite(_stamped(keyed, ts), DIM_GEOGRAPHY)
+    record.overwrite(_stamped(keyed, ts), DIM_GEOGRAPHY, key="geography_key")
     geography = wh.read(DIM_GEOGRAPHY)
 
     named = star.denormalise_products(
@@ -268,7 +314,7 @@ def load_warehouse(
 
     def load_dimension(table: str, rows: DataFrame, name: str) -> None:
         keyed = assign_keys(rows, [f"{name}_id"], f"{name}_key")
-        record.overwrite(_stamped(keyed, ts), table)
+        record.overwrite(_stamped(keyed, ts), table, key=f"{name}_key")
 
     _together(partial(load_dimension, *d) for d in dimensions)
 
@@ -276,7 +322,7 @@ def load_warehouse(
         star.build_fact(lines, orders, _dims(wh), "strict"), GRAIN, "order_line_key",
         bucket_digits=FACT_BUCKET_DIGITS, dense=False,
     )
-    record.overwrite(_fact_layout(_stamped(fact, ts)), FACT, FACT_PARTITIONS)
+    record.overwrite(_fact_layout(_stamped(fact, ts)), FACT, FACT_PARTITIONS, key="order_line_key")
 
     histories = [
         (CUSTOMER_HISTORY, customers, "customer", model.CUSTOMER_ATTRIBUTES, ()),
@@ -286,7 +332,7 @@ def load_warehouse(
     def load_history(table: str, rows: DataFrame, name: str, attributes, extra) -> None:
         versions = scd2_init(rows, [f"{name}_id"], attributes, ts, extra)
         keyed = assign_keys(versions, [f"{name}_id"], f"{name}_history_key")
-        record.overwrite(keyed, table, HISTORY_PARTITIONS)
+        record.overwrite(keyed, table, part=OPEN, key=f"{name}_history_key")
 
     _together(
         [*(partial(load_history, *h) for h in histories),
@@ -304,12 +350,31 @@ def _write_metrics(wh: Warehouse, record: Recorder, ts: datetime) -> None:
     record.overwrite(_stamped(product, ts, "fecha_calculo"), PRODUCT_METRICS)
 
 
+@atomic
 def refresh_metrics(
-    wh: Warehouse, ts: datetime, step: str = "refresh_metrics"
+    wh: Warehouse, ts: datetime, step: str = "refresh_metrics", full: bool = False
 ) -> dict[str, int]:
-    """Both metric tables anew from the whole fact."""
+    """Metrics of the customers and products that got lines since the last refresh, or of
+    all. The fact is cut down to them before it is grouped; others keep their rows."""
     record = Recorder(wh, step, WAREHOUSE_UPDATE)
-    _write_metrics(wh, record, ts)
+    if full:
+        _write_metrics(wh, record, ts)
+    else:
+        pending = wh.read(PENDING, StructType.fromDDL(PENDING_TYPES))
+        fact, days = wh.read(FACT), wh.read(DIM_DATE)
+        for name, table, dim, build in (
+            ("customer", CUSTOMER_METRICS, DIM_CUSTOMER, metrics.customer_sales_metrics),
+            ("product", PRODUCT_METRICS, DIM_PRODUCT, metrics.product_sales_metrics),
+        ):
+            key = f"{name}_key"
+            touched = wh.intermediate(
+                pending.filter(F.col("entidad") == name).select(F.col("clave").alias(key)).distinct()
+            )
+            fresh = build(fact.join(touched, key, "left_semi"), wh.read(dim), days)
+            kept = wh.read(table).join(touched, key, "left_anti")
+            merged = kept.unionByName(_stamped(fresh, ts, "fecha_calculo"))
+            record.overwrite(merged, table)
+    wh.drop(PENDING)
     return record.close()
 
 
@@ -331,50 +396,61 @@ def _apply_versions(
     dim_rows: DataFrame, dim_columns: Sequence[str],
 ) -> int:
     """History and dimension of one entity: close and open versions, overwrite the rows of
-    changed keys, and add rows for keys that are new."""
+    the incoming keys, and add rows for keys that are new. Closed versions are not read."""
     key = [f"{name}_id"]
-    history, dim = wh.read(history_table), wh.read(dim_table)
-    # read by the history, the dimension and the count
-    opened = cut_lineage(
-        scd2_changes(history, incoming, key, attributes, ts, extra), wh.checkpoints
-    )
-    numbered = assign_keys(opened, key, f"{name}_history_key", existing=history)
-    record.overwrite(
-        scd2_merge(history, numbered, key, ts), history_table, HISTORY_PARTITIONS
-    )
+    current, dim = wh.read(history_table, part=OPEN), wh.read(dim_table)
+    # read by both parts of the history, the change log and the count
+    opened = wh.intermediate(scd2_changes(current, incoming, key, attributes, ts, extra))
+    number = f"{name}_history_key"
+    numbered = assign_keys(opened, key, number, wh.highest(history_table))
+    closed = scd2_closed(current, opened, key, ts)
+    start = batch_timestamp()
+    rows = wh.append(closed, history_table, part=CLOSED, key=number)
+    rows += wh.overwrite(scd2_open(current, numbered, key), history_table, part=OPEN, key=number)
+    record.note(history_table, start, rows)
 
-    changed = dim_rows.join(opened.select(*key), key, "left_semi")
     added = _stamped(
-        assign_keys(insert_new(dim_rows, dim, key), key, f"{name}_key", existing=dim), ts
+        assign_keys(insert_new(dim_rows, dim, key), key, f"{name}_key", wh.highest(dim_table)), ts
     )
-    updated = scd1_update(dim, changed, key, dim_columns)
+    updated = scd1_update(dim, dim_rows.dropDuplicates(key), key, dim_columns)
     start = batch_timestamp()
-    wh.overwrite(updated.unionByName(added, allowMissingColumns=True), dim_table)
-    count = opened.count()
+    wh.overwrite(
+        updated.unionByName(added, allowMissingColumns=True), dim_table, key=f"{name}_key"
+    )
+    changes = opened.select(
+        timestamp(ts).alias("fecha"), F.lit(name).alias("entidad"),
+        F.col(key[0]).cast("string").alias("clave"), F.lit("version").alias("cambio"),
+    )
+    count = wh.append(changes, CHANGES)
     record.note(dim_table, start, count, f"versions opened: {count}")
     return count
 
 
+@atomic
 def update_warehouse(
     wh: Warehouse, ts: datetime, step: str = "update_warehouse",
     check_step: str = "check_delta_keys",
-) -> dict[str, int]:
-    """Apply a staged delta: days, places, customers, products, then lines."""
+) -> dict[str, float]:
+    """Apply a staged delta: days, places, customers, products, then lines. The summary holds
+    counts and the seconds it took; the keys are in the change log, by ``fecha``."""
+    began = batch_timestamp()
     tables = sorted({f"tmp_{k.child}" for k in model.DELTA_KEYS})
     gates.gate_tables(read_checks(wh), tables, [check_step])
+    _gate_versions(wh, tables, check_step)
     customers, products, orders, lines = (wh.read(s.staged_table) for s in model.DELTA)
     record = Recorder(wh, step, WAREHOUSE_UPDATE)
-    summary: dict[str, int] = {}
+    summary: dict[str, float] = {}
 
     new_days = star.extend_dim_date(wh.read(DIM_DATE), orders)
     summary["fechas_nuevas"] = record.append(new_days.select(*wh.read(DIM_DATE).columns), DIM_DATE)
 
-    geography = wh.read(DIM_GEOGRAPHY)
     places = assign_keys(
-        star.extend_dim_geography(geography, orders, customers), ["geography_signature"],
-        "geography_key", existing=geography,
+        star.extend_dim_geography(wh.read(DIM_GEOGRAPHY), orders, customers),
+        ["geography_signature"], "geography_key", wh.highest(DIM_GEOGRAPHY),
+    )
+    summary["geografias_nuevas"] = record.append(
+        _stamped(places, ts), DIM_GEOGRAPHY, key="geography_key"
     )
-    summary["geografias_nuevas"] = record.append(_stamped(places, ts), DIM_GEOGRAPHY)
     geography = wh.read(DIM_GEOGRAPHY)
 
     summary["clientes_modificados"] = _apply_versions(
@@ -392,13 +468,15 @@ def update_warehouse(
         (*model.PRODUCT_ATTRIBUTES, "stock_alarm_level"),
     )
 
-    fact = wh.read(FACT)
-    built = cut_lineage(
-        star.build_fact(lines, orders, _dims(wh), "lenient"), wh.checkpoints
-    )
-    fresh = assign_keys(
-        insert_new(built, fact, GRAIN), GRAIN, "order_line_key", existing=fact,
-        bucket_digits=FACT_BUCKET_DIGITS, dense=False,
+    # The size of written headers is known: with a small delta the lines do not move.
+    dims, fact = _dims(wh), wh.read(FACT)
+    headers = wh.intermediate(star.resolve_orders(orders, dims, "left"))
+    built = star.build_fact(lines, orders, dims, "lenient", headers)
+    fresh = wh.intermediate(
+        assign_keys(
+            insert_new(built, fact, GRAIN), GRAIN, "order_line_key", wh.highest(FACT),
+            bucket_digits=FACT_BUCKET_DIGITS, dense=False,
+        )
     )
     dropped = star.dropped_lines(
         lines, orders, wh.read(DIM_CUSTOMER), wh.read(DIM_PRODUCT)
@@ -406,29 +484,38 @@ def update_warehouse(
     summary["lineas_descartadas"] = dropped
     summary["lineas_hecho_nuevas"] = record.append(
         _fact_layout(_stamped(fresh, ts)), FACT, FACT_PARTITIONS,
-        note=f"lines without order, customer or product: {dropped}",
+        note=f"lines without order, customer or product: {dropped}", key="order_line_key",
     )
+    sold = [
+        fresh.select(F.lit(name).alias("entidad"), F.col(f"{name}_key").alias("clave")).distinct()
+        for name in ("customer", "product")
+    ]
+    wh.append(sold[0].unionByName(sold[1]), PENDING)
     record.close()
+    summary["total_segundos"] = (batch_timestamp() - began).total_seconds()
     return summary
 
 
 # Enrichment -----------------------------------------------------------------
+@atomic
 def integrate_countries(
-    wh: Warehouse, folder: str, step: str = "integrate_countries"
+    wh: Warehouse, folder: str, step: str = "integrate_countries", multi_line: bool = False
 ) -> dict[str, int]:
     record = Recorder(wh, step, ENRICHMENT)
-    raw = read_country_attributes(wh.spark, f"{folder}/{model.COUNTRY_FILE}")
+    raw = read_country_attributes(wh.spark, f"{folder}/{model.COUNTRY_FILE}", multi_line)
     wh.overwrite(raw, RAW_COUNTRIES)
     enriched = enrichment.enrich_geography(wh.read(DIM_GEOGRAPHY), wh.read(RAW_COUNTRIES))
-    record.overwrite(enriched, DIM_GEOGRAPHY)
+    record.overwrite(enriched, DIM_GEOGRAPHY, key="geography_key")
     return record.close()
 
 
+@atomic
 def integrate_scores(
-    wh: Warehouse, folder: str, ts: datetime, step: str = "integrate_scores"
+    wh: Warehouse, folder: str, ts: datetime, step: str = "integrate_scores",
+    multi_line: bool = False,
 ) -> dict[str, int]:
     record = Recorder(wh, step, ENRICHMENT)
-    rows, rejected = read_scores(wh.spark, f"{folder}/{model.SCORE_FILE}")
+    rows, rejected = read_scores(wh.spark, f"{folder}/{model.SCORE_FILE}", multi_line)
     wh.overwrite(rows, RAW_SCORES)
     refused = wh.overwrite(rejected, f"{RAW_SCORES}_rechazos")
     target = wh.read(SCORES) if wh.exists(SCORES) else wh.spark.createDataFrame([], SCORE_TYPES)
@@ -439,6 +526,7 @@ def integrate_scores(
 
 
 # Publication ----------------------------------------------------------------
+@atomic
 def publish(wh: Warehouse, ts: datetime, step: str = "publish") -> dict[str, int]:
     """The sales product and the three quality summaries, in full."""
     record = Recorder(wh, step, PUBLICATION)
@@ -463,6 +551,7 @@ def publish(wh: Warehouse, ts: datetime, step: str = "publish") -> dict[str, int
     return record.close()
 
 
+@atomic
 def check_published(wh: Warehouse, ts: datetime, step: str = "check_published") -> None:
     """Six checks on the products; their own rows in the summary are replaced."""
 
@@ -503,11 +592,10 @@ def dashboards(wh: Warehouse, step: str = "dashboards") -> dict[str, DataFrame]:
 # Whole loads ----------------------------------------------------------------
 def initial_load(
     wh: Warehouse, folder: str, ts: datetime | None = None, approx_profiles: bool = False,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> dict[str, int]:
-    """Initial files to a loaded warehouse. Large files without line breaks in their fields
-    should be read with ``multi_line=False``, which lets Spark split them, and large tables
-    be profiled with ``approx_profiles=True``."""
+    """Initial files to a loaded warehouse. Files with line breaks inside of fields need
+    ``multi_line=True``; large tables should be profiled with ``approx_profiles=True``."""
     ts = ts or batch_timestamp()
     acquire(wh, folder, model.INITIAL, multi_line=multi_line)
     check_raw(wh, model.INITIAL, ts)
@@ -522,17 +610,16 @@ def initial_load(
 
 def delta_load(
     wh: Warehouse, folder: str, ts: datetime | None = None, approx_profiles: bool = False,
-    multi_line: bool = True,
-) -> dict[str, int]:
+    multi_line: bool = False,
+) -> dict[str, float]:
     """Delta files into the warehouse."""
     ts = ts or batch_timestamp()
     acquire(wh, folder, model.DELTA, "acquire_delta", multi_line)
     check_raw(wh, model.DELTA, ts, "check_delta")
     profile_raw(wh, model.DELTA, ts, "profile_delta", approx_profiles)
-    for source in model.DELTA:  # a new delta replaces the staged rows of the one before
-        if wh.exists(source.staged_table):
-            staged = wh.read(source.staged_table)
-            wh.overwrite(wh.spark.createDataFrame([], staged.schema), source.staged_table)
+    with wh.transaction():  # a new delta replaces the staged rows of the one before
+        for source in model.DELTA:
+            wh.drop(source.staged_table)
     stage(wh, model.DELTA, "stage_delta", "check_delta")
     check_keys(wh, model.DELTA_KEYS, ts, "check_delta_keys")
     summary = update_warehouse(wh, ts)

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings every load and query relies on. Broadcasting is left to Spark's own
 # size check (spark.sql.autoBroadcastJoinThreshold), with sort-merge joins beyond it.
@@ -40,19 +39,3 @@ def build(master: str | None = None, shuffle_partitions: int | None = None) -> S
 def batch_timestamp() -> datetime:
     """One UTC time per batch, passed to every step so that all its rows agree."""
     return datetime.now(UTC).replace(tzinfo=None)
-
-
-def cut_lineage(df: DataFrame, folder: str) -> DataFrame:
-    """Materialise a frame that several outputs of one step read, as a written table.
-
-    The rows survive the loss of executors, and Spark knows their size: joins with a small
-    batch are planned as broadcasts of the batch, where a checkpoint would keep the estimate
-    of the joins it came from. The table goes to the folder the cluster names in
-    spark.checkpoint.dir; ``folder``, which must be on shared storage, is only used where
-    none is named. It is left there, like a checkpoint, for the cluster to clean up.
-    """
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", folder).rstrip("/")
-    path = f"{root}/silostar-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

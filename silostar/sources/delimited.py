@@ -68,13 +68,14 @@ def _field_count(separator: str, width: int) -> Column:
 
 def read_raw(
     spark: SparkSession, path: str, columns: Sequence[str] | Mapping[str, str],
-    delimiter: str = ",", multi_line: bool = True, keep: Sequence[Column] = (),
+    delimiter: str = ",", multi_line: bool = False, keep: Sequence[Column] = (),
 ) -> DataFrame:
     """The raw layer of a file: the chosen columns, all text.
 
     ``columns`` is either a map of header name to column name, or column names to find in
-    the header by rule. A column the header lacks is null. ``multi_line=False`` lets Spark
-    split large files, where it is known that no field holds a line break.
+    the header by rule. A column the header lacks is null. Files are split among tasks. A
+    field with a line break then gives records that do not fit and have an unpaired quote,
+    which raises: read such a file with ``multi_line=True``, as a whole in one task.
     """
     rows, header = _scan(spark, path, delimiter, multi_line)
     mapping = dict(columns) if isinstance(columns, Mapping) else header_map(columns, header)
@@ -82,6 +83,10 @@ def read_raw(
     position = {mapping[h]: i for i, h in enumerate(header) if h in mapping}
 
     count = _field_count(delimiter, len(header))
+    if not multi_line:
+        quotes = F.length(_BAD) - F.length(F.replace(F.col(_BAD), F.lit('"'), F.lit("")))
+        cut = F.concat(F.lit(f"{path}: a field holds a line break, use multi_line: "), F.col(_BAD))
+        count = F.when(quotes % 2 == 1, F.raise_error(cut).cast("int")).otherwise(count)
     selected = []
     for c in wanted:
         if c not in position:
@@ -98,18 +103,20 @@ def read_raw(
     )
 
 
-def read_source(spark: SparkSession, folder: str, source: Source, multi_line: bool = True):
+def read_source(spark: SparkSession, folder: str, source: Source, multi_line: bool = False):
     """The raw layer of a declared input file."""
     return read_raw(
         spark, f"{folder}/{source.file}", source.columns, source.separator, multi_line
     )
 
 
-def read_scores(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_scores(
+    spark: SparkSession, path: str, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Customer scores as text, stripped, blanks kept; and the records too short to hold
     a score, which are not loaded."""
     rows = read_raw(
-        spark, path, SCORE_COLUMNS, ";", keep=[F.col(_BAD).alias("record")]
+        spark, path, SCORE_COLUMNS, ";", multi_line, [F.col(_BAD).alias("record")]
     )
     plain = [F.coalesce(_strip(c), F.lit("")).alias(c) for c in SCORE_COLUMNS.values()]
     return (
@@ -118,7 +125,9 @@ def read_scores(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def read_country_attributes(spark: SparkSession, path: str) -> DataFrame:
+def read_country_attributes(
+    spark: SparkSession, path: str, multi_line: bool = False
+) -> DataFrame:
     """Seven columns of the country file, stripped; the last record of a country counts.
     Blank coordinates become null."""
     place = [
@@ -126,7 +135,7 @@ def read_country_attributes(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     ]
-    rows = read_raw(spark, path, COUNTRY_COLUMNS, ",", keep=place)
+    rows = read_raw(spark, path, COUNTRY_COLUMNS, ",", multi_line, place)
     last = first_per_key(rows, ["country"], [F.desc("_file"), F.desc("_block"), F.desc("_line")])
     text = [
         F.coalesce(_strip(c), F.lit("")).alias(c)

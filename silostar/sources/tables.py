@@ -1,16 +1,18 @@
 """Tables of the warehouse as Parquet snapshots.
 
-Plain Parquet has no UPDATE, so a change writes the new content to a new folder and then
-appends one row to the snapshot log. Readers follow the log, so they see the old content
-until the new one is complete. Appends and partition replacement work inside the current
-folder. One writing process at a time is assumed.
+A table is a list of folders that an entry of the snapshot log names. Every write, an append
+too, goes to a new folder; nothing that a reader may see is changed. One append to the log
+publishes all tables written in a transaction, so that a step that fails leaves every table
+as it was. One writing process at a time is assumed.
 """
 
 from __future__ import annotations
 
+import json
 import threading
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -22,14 +24,22 @@ from silostar.model import EVENT_SCHEMA
 from silostar.operators.keys import assign_keys
 from silostar.session import batch_timestamp
 
+_FOLDER = T.StructType(
+    [T.StructField("part", T.StringType()), T.StructField("path", T.StringType())]
+)
 _LOG_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType()),
         T.StructField("version", T.LongType()),
-        T.StructField("path", T.StringType()),
+        T.StructField("folders", T.ArrayType(_FOLDER)),
+        T.StructField("schema", T.StringType()),
+        T.StructField("highest", T.LongType()),
         T.StructField("written", T.TimestampNTZType()),
     ]
 )
+# Each folder is a partition of the table's own folder, so that folders with partitions of
+# their own are read in one scan.
+_LOAD = "load_id"
 
 
 class Warehouse:
@@ -38,16 +48,13 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-
         self._latest: dict[str, Row] | None = None
-        self._lock = threading.Lock()
+        self._staged: dict[str, Row] | None = None  # written in the open transaction
+        self._made: list[str] = []  # folders of the open transaction
+        self._scratch: list[str] = []  # intermediate tables of the open transaction
+        self._lock = threading.RLock()
 
     # Reading ----------------------------------------------------------------
-    @property
-    def checkpoints(self) -> str:
-        """Shared folder for intermediate tables where the cluster names none."""
-        return f"{self.root}/_checkpoints"
-
     def reload(self) -> None:
         """Look at the log again, to see what another writer has done."""
         self._latest = None
@@ -57,72 +64,198 @@ class Warehouse:
         if self._latest is None:
             try:
                 log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_snapshots")
-            except AnalysisException:  # nothing written yet
-                return {}
-            entry = F.struct("version", "path", "table", "written")
-            last = log.groupBy("table").agg(F.max(entry).alias("entry")).select("entry.*")
-            self._latest = {row.table: row for row in last.collect()}
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                return {}  # nothing written yet
+            entry = F.struct("version", *[c for c in log.columns if c != "version"])
+            last = log.groupBy("table").agg(F.max_by(entry, "version").alias("entry"))
+            self._latest = {row.table: row for row in last.select("entry.*").collect()}
         return self._latest
 
     def _current(self, table: str) -> Row | None:
+        if self._staged and table in self._staged:
+            return self._staged[table]
         return self._snapshots().get(table)
 
     def exists(self, table: str) -> bool:
-        return self._current(table) is not None
+        current = self._current(table)
+        return current is not None and bool(current.folders)
+
+    def version(self, table: str) -> int:
+        """Counts the writes of a table; 0 if there was none."""
+        current = self._current(table)
+        return current.version if current else 0
+
+    def highest(self, table: str) -> int:
+        """The highest key that was ever given out in a table written with its ``key``."""
+        current = self._current(table)
+        return (current.highest or 0) if current else 0
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        """The current content; a table not yet written is empty if its schema is given."""
+    def folders(self, table: str, part: str | None = None) -> list[str]:
         current = self._current(table)
-        if current is None:
+        found = current.folders if current else []
+        return [f.path for f in found if part is None or f.part == part]
+
+    def read(
+        self, table: str, schema: T.StructType | None = None, part: str | None = None
+    ) -> DataFrame:
+        """The current content, or one part of it. A table not yet written is empty if its
+        schema is given."""
+        if not self.exists(table):
             if schema is None:
                 raise LookupError(f"no such table: {table}")
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(current.path)
+        kept = T.StructType.fromJson(json.loads(self._current(table).schema))
+        paths = self.folders(table, part)
+        if not paths:
+            return self.spark.createDataFrame([], kept)
+        reader = self.spark.read.schema(T.StructType([*kept, T.StructField(_LOAD, T.StringType())]))
+        rows = reader.option("basePath", f"{self.root}/{table}").parquet(*paths)
+        return rows.select(*[F.col(f"`{f.name}`") for f in kept])
 
     # Writing ----------------------------------------------------------------
+    @contextmanager
+    def transaction(self) -> Iterator[None]:
+        """All tables written inside change together, or none of them. Reads inside see what
+        was written. Intermediate tables are deleted at the end, and after a failure the
+        folders that were written, too. Inside another transaction it is a part of it."""
+        if self._staged is not None:
+            yield
+            return
+        self._staged, self._made, self._scratch = {}, [], []
+        try:
+            yield
+            self._publish(list(self._staged.values()))
+        except BaseException:
+            for path in self._made:
+                self._delete(path)
+            raise
+        finally:
+            for path in self._scratch:
+                self._delete(path)
+            self._staged, self._made, self._scratch = None, [], []
+
+    def _publish(self, entries: list[Row]) -> None:
+        if entries:
+            known = self._snapshots()
+            log = self.spark.createDataFrame(entries, _LOG_SCHEMA).coalesce(1)
+            log.write.mode("append").parquet(f"{self.root}/_snapshots")
+            self._latest = known | {entry.table: entry for entry in entries}
+
+    def _enter(self, table: str, folders: list, schema: str | None, highest: int | None) -> None:
+        """A new log entry of a table, published now or at the end of the transaction."""
+        with self._lock:  # tables may be written from several threads
+            entry = Row(
+                table=table, version=self.version(table) + 1, folders=folders, schema=schema,
+                highest=highest, written=batch_timestamp(),
+            )
+            if self._staged is not None:
+                self._staged[table] = entry
+            else:
+                self._publish([entry])
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def _write(
-        self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str], **options: str
-    ) -> int:
-        """Write and count in one pass."""
+        self, df: DataFrame, table: str, partition_by: Sequence[str], key: str | None
+    ) -> tuple[str, int, int | None]:
+        """Write to a new folder; count the rows and find the highest key in the same pass."""
+        path = f"{self.root}/{table}/{_LOAD}={uuid.uuid4().hex}"
+        with self._lock:
+            self._made.append(path)
         counted = Observation()
-        writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode(mode)
-        writer = writer.options(**options)
+        top = F.max(F.col(key) if key else F.lit(None)).cast("bigint")
+        writer = df.observe(counted, F.count(F.lit(1)).alias("n"), top.alias("top")).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        return int(counted.get["n"])
+        return path, int(counted.get["n"]), counted.get["top"]
 
-    def overwrite(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
-        """Replace the whole content (drop and recreate, full refresh, merge result)."""
-        current = self._current(table)
-        version = (current.version if current else 0) + 1
-        path = f"{self.root}/{table}/v{version:06d}-{uuid.uuid4().hex[:8]}"
-        rows = self._write(df, path, "errorifexists", partition_by)
-        entry = Row(table=table, version=version, path=path, written=batch_timestamp())
-        # Tables may be written from several threads; commits to the log go one by one.
+    def _store(
+        self, df: DataFrame, table: str, partition_by: Sequence[str], part: str, key: str | None,
+        keep,
+    ) -> int:
+        path, rows, top = self._write(df, table, partition_by, key)
         with self._lock:
-            self.spark.createDataFrame([entry], _LOG_SCHEMA).coalesce(1).write.mode(
-                "append"
-            ).parquet(f"{self.root}/_snapshots")
-            self._latest = self._snapshots() | {table: entry}
+            current = self._current(table)
+            folders = [f for f in (current.folders if current else []) if keep(f)]
+            fields = {f.name: f for f in df.schema}
+            if folders:  # a column that an older folder lacks is null there
+                old = T.StructType.fromJson(json.loads(current.schema))
+                fields = {f.name: f for f in old} | {n: f for n, f in fields.items() if n not in old.names}
+            highest = max((x for x in (top, current.highest if current else None) if x is not None), default=None)
+            schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()]).json()
+            self._enter(table, [*folders, Row(part=part, path=path)], schema, highest)
         return rows
 
-    def append(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
+    def overwrite(
+        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), part: str | None = None,
+        key: str | None = None,
+    ) -> int:
+        """Replace the whole content (drop and recreate, full refresh, merge result), or that
+        of one part. ``key`` names a surrogate key whose highest value is kept in the log."""
+        return self._store(
+            df, table, partition_by, part or "", key, lambda f: part is not None and f.part != part
+        )
+
+    def append(
+        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), part: str = "",
+        key: str | None = None,
+    ) -> int:
+        return self._store(df, table, partition_by, part, key, lambda f: True)
+
+    def drop(self, table: str) -> None:
+        """The table is gone, and may be loaded anew; versions and keys go on counting."""
         current = self._current(table)
-        if current is None:
-            return self.overwrite(df, table, partition_by)
-        return self._write(df, current.path, "append", partition_by)
+        if current is not None:
+            self._enter(table, [], None, current.highest)
 
     def replace_where(self, df: DataFrame, table: str, key: str) -> int:
-        """Replace the rows of the key values that occur in ``df`` and keep the others.
-        The table must be partitioned by ``key``."""
-        current = self._current(table)
-        if current is None:
+        """Replace the rows of the key values that occur in ``df`` and keep the others. The
+        whole table is written, so this is for small tables."""
+        if not self.exists(table):
             return self.overwrite(df, table, [key])
-        return self._write(
-            df, current.path, "overwrite", [key], partitionOverwriteMode="dynamic"
-        )
+        with self.transaction():
+            df = self.intermediate(df)
+            others = self.read(table).join(df.select(key).distinct(), key, "left_anti")
+            self.overwrite(others.unionByName(df, allowMissingColumns=True), table, [key])
+            return df.count()
+
+    def intermediate(self, df: DataFrame) -> DataFrame:
+        """``df`` as a table below the warehouse that lasts until the transaction ends. The
+        rows are worked out once, survive the loss of executors, and their size is known to
+        the planner: joins with a small batch are planned as broadcasts of the batch."""
+        if self._staged is None:
+            raise RuntimeError("intermediate tables need a transaction")
+        path = f"{self.root}/_intermediate/{uuid.uuid4().hex}"
+        with self._lock:
+            self._scratch.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def expire(self) -> int:
+        """Delete the folders that no current table lists: old snapshots, and what a lost
+        job left. Readers that still work on an old snapshot lose it, and no transaction may
+        be open, here or in another process. Returns the number of folders."""
+        if self._staged is not None:
+            raise RuntimeError("a transaction is open")
+        self.reload()
+        jvm, gone = self.spark._jvm, 0
+        for table in self._snapshots():
+            listed = {path.rsplit("/", 1)[1] for path in self.folders(table)}
+            top = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+            system = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for status in system.listStatus(top) if system.exists(top) else []:
+                name = status.getPath().getName()
+                if name.startswith(f"{_LOAD}=") and name not in listed:
+                    system.delete(status.getPath(), True)
+                    gone += 1
+        self._delete(f"{self.root}/_intermediate")
+        return gone
 
 
 def append_numbered(
@@ -131,9 +264,9 @@ def append_numbered(
 ) -> int:
     """Append rows to a log table with increasing ids (a batch of log rows is small: one
     per declared check, column or write)."""
-    existing = warehouse.read(table, schema)
-    numbered = assign_keys(df, order, "id", existing, bucket_digits=1)
-    return warehouse.append(numbered.select(*[f.name for f in schema]).coalesce(1), table)
+    numbered = assign_keys(df, order, "id", warehouse.highest(table), bucket_digits=1)
+    columns = [F.col(f.name).cast(f.dataType) for f in schema]
+    return warehouse.append(numbered.select(*columns).coalesce(1), table, key="id")
 
 
 def event(

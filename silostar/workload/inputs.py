@@ -225,6 +225,27 @@ class Inputs:
         fax = F.when(F.col("region") == "AFRICA", F.col("phone")).otherwise(F.col("fax"))
         return self.customers.withColumns({"contact_title": title, "fax": fax})
 
+    @cached_property
+    def early_orders(self) -> DataFrame:
+        """Orders before the delta that the first twenty employees took: the delta brings
+        places that they never delivered to."""
+        return self.base_orders.filter("employee_id < 20")
+
+    @cached_property
+    def base_products(self) -> DataFrame:
+        """Products known before the delta; one brand arrives with it."""
+        return self.products.filter("quantity_per_unit <> 'Brand#3'")
+
+    @cached_property
+    def delta_products(self) -> DataFrame:
+        """All products; those of one category come with another name, and those without a
+        reorder level get one."""
+        named = F.when(
+            F.col("category_id") == "ECONOMY", F.concat("product_name", F.lit(" (new)"))
+        ).otherwise(F.col("product_name"))
+        level = F.coalesce("reorder_level", F.lit(12))
+        return self.products.withColumns({"product_name": named, "reorder_level": level})
+
     # Dimensions, with natural keys as keys ----------------------------------
     def keyed(self, table: str, column: str, name: str) -> DataFrame:
         natural = F.col(column)
@@ -296,7 +317,7 @@ class Inputs:
             F.col("l_quantity").cast("int").alias("quantity"),
             *line_amounts(gross, discount, null_discount=0),
         )
-        return lines.hint("merge").join(headers, "order_id")
+        return lines.join(headers, "order_id")
 
     @cached_property
     def order_days(self) -> DataFrame:
@@ -344,7 +365,7 @@ class Inputs:
     @cached_property
     def raw_scores(self) -> DataFrame:
         """A score line per customer from the account balance (blank when negative) and one
-        per order from its priority, so that customers repeat."""
+        per order from its priority (none unless it is pending), so that customers repeat."""
         balance = F.col("c_acctbal")
         own = self.table("customer").select(
             F.col("c_custkey").alias("customer_id"),
@@ -352,11 +373,11 @@ class Inputs:
                 "score"
             ),
         )
-        urgent = self.table("orders").filter("o_orderpriority = '1-URGENT'").select(
+        ordered = self.table("orders").select(
             F.col("o_custkey").alias("customer_id"),
-            F.when(F.col("o_orderstatus") == "P", "5").alias("score"),
+            F.when(F.col("o_orderstatus") == "P", F.substring("o_orderpriority", 1, 1)).alias("score"),
         )
-        return own.unionByName(urgent)
+        return own.unionByName(ordered)
 
     @cached_property
     def customer_scores(self) -> DataFrame:

@@ -39,16 +39,13 @@ CTES = {
                CASE WHEN p_type <> 'SMALL' THEN 15 END AS reorder_level,
                CASE WHEN p_type = 'ECONOMY' THEN 1 ELSE 0 END AS discontinued
         FROM part""",
-    "named_products": """
-        SELECT p.product_id, p.product_name, p.category_id, c.category_name, p.supplier_id,
-               s.s_name AS supplier_name, p.quantity_per_unit, p.unit_price, p.units_in_stock,
-               p.units_on_order, p.reorder_level, p.discontinued,
-               CASE WHEN p.units_in_stock IS NULL OR p.units_in_stock <= 0 THEN 2
-                    WHEN p.units_in_stock <= coalesce(p.reorder_level, 0) THEN 1
-                    ELSE 0 END AS stock_alarm_level
-        FROM products p
-        LEFT JOIN categories c ON p.category_id = c.category_id
-        LEFT JOIN supplier s ON p.supplier_id = s.s_suppkey""",
+    "base_products": "SELECT * FROM products WHERE quantity_per_unit <> 'Brand#3'",
+    "delta_products": """
+        SELECT * REPLACE (
+            CASE WHEN category_id = 'ECONOMY' THEN product_name || ' (new)'
+                 ELSE product_name END AS product_name,
+            coalesce(reorder_level, 12) AS reorder_level)
+        FROM products""",
     "headers": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, c_nationkey AS employee_id,
                o_orderdate AS order_date, o_orderdate + INTERVAL 30 DAY AS required_date,
@@ -119,8 +116,8 @@ CTES = {
                     ELSE CAST(CAST(floor(c_acctbal / 2500) AS BIGINT) AS VARCHAR) END AS score
         FROM customer
         UNION ALL
-        SELECT o_custkey, CASE WHEN o_orderstatus = 'P' THEN '5' END
-        FROM orders WHERE o_orderpriority = '1-URGENT'""",
+        SELECT o_custkey, CASE WHEN o_orderstatus = 'P' THEN substr(o_orderpriority, 1, 1) END
+        FROM orders""",
     "best_scores": """
         SELECT customer_id, CAST(max(CAST(score AS INTEGER)) AS INTEGER) AS score
         FROM raw_scores WHERE score IS NOT NULL AND score <> ''
@@ -150,6 +147,23 @@ CTES = {
         FROM events""",
 }
 
+def named_products(products: str) -> str:
+    """Products with the names of their category and supplier and the stock alarm."""
+    return f"""
+        SELECT p.product_id, p.product_name, p.category_id, c.category_name, p.supplier_id,
+               s.s_name AS supplier_name, p.quantity_per_unit, p.unit_price, p.units_in_stock,
+               p.units_on_order, p.reorder_level, p.discontinued,
+               CASE WHEN p.units_in_stock IS NULL OR p.units_in_stock <= 0 THEN 2
+                    WHEN p.units_in_stock <= coalesce(p.reorder_level, 0) THEN 1
+                    ELSE 0 END AS stock_alarm_level
+        FROM {products} p
+        LEFT JOIN categories c ON p.category_id = c.category_id
+        LEFT JOIN supplier s ON p.supplier_id = s.s_suppkey"""
+
+
+CTES["named_products"] = named_products("products")
+CTES["base_named"] = named_products("base_products")
+CTES["delta_named"] = named_products("delta_products")
 SIGNATURE = (
     "coalesce(nullif(trim({country}), ''), '<unknown>') || '|' || "
     "coalesce(nullif(trim({region}), ''), '<none>') || '|' || "
@@ -517,6 +531,14 @@ ORACLE["dim_customer"] = sql(
           ON geography_signature = {SIGNATURE.format(
               country='c.country', region='c.region', city='c.city', postal='c.postal_code')}"""
 )
+ORACLE["dim_customer_extend"] = sql(
+    f"""SELECT customer_id, geography_signature AS customer_geography_key,
+               {', '.join('c.' + a.strip() for a in _ATTRIBUTES.split(','))}
+        FROM delta_customers c JOIN (SELECT geography_signature FROM all_places) g
+          ON geography_signature = {SIGNATURE.format(
+              country='c.country', region='c.region', city='c.city', postal='c.postal_code')}
+        WHERE customer_id NOT IN (SELECT customer_id FROM base_customers)"""
+)
 ORACLE["dim_employee"] = sql(
     f"""SELECT employee_id, geography_signature AS employee_geography_key,
                first_name || ' ' || last_name AS employee_name, title, e.city, e.region,
@@ -603,6 +625,12 @@ ORACLE["fact_insert_ignore"] = sql(
                                   ORDER BY line_number, gross_amount, quantity,
                                            d.discount NULLS FIRST) = 1"""
 )
+ORACLE["dropped_lines"] = sql(
+    """SELECT order_id, product_id, line_number, quantity FROM details
+       WHERE order_id NOT IN (SELECT order_id FROM delta_headers WHERE customer_id IN
+                                (SELECT customer_id FROM base_customers))
+          OR product_id NOT IN (SELECT product_id FROM base_products)"""
+)
 ORACLE["order_freight"] = sql(
     """SELECT order_id, CAST(freight AS DOUBLE) AS order_freight_amount FROM headers
        WHERE order_id IN (SELECT l_orderkey FROM lineitem)"""
@@ -651,6 +679,27 @@ ORACLE["scd2_product_init"] = sql(
                {_OPEN}
         FROM named_products"""
 )
+_PRODUCT_VERSION = f"""* REPLACE (CAST(unit_price AS DOUBLE) AS unit_price),
+    {_signature(_PRODUCT_NAMES)} AS attribute_signature"""
+CTES["old_products"] = f"SELECT {_PRODUCT_VERSION}, {LOAD} AS vigente_desde FROM base_named"
+CTES["new_products"] = f"SELECT {_PRODUCT_VERSION}, {BATCH} AS vigente_desde FROM delta_named"
+CTES["opened_products"] = """
+    SELECT n.* FROM new_products n
+    WHERE NOT EXISTS (SELECT 1 FROM old_products o WHERE o.product_id = n.product_id
+                      AND o.attribute_signature = n.attribute_signature)"""
+ORACLE["scd2_product_apply"] = sql(
+    f"""SELECT o.*,
+               CASE WHEN n.product_id IS NOT NULL THEN {BATCH} END AS vigente_hasta,
+               CAST(CASE WHEN n.product_id IS NOT NULL THEN 0 ELSE 1 END AS INTEGER)
+                 AS es_vigente
+        FROM old_products o LEFT JOIN (SELECT product_id FROM opened_products) n
+          ON o.product_id = n.product_id
+        UNION ALL BY NAME SELECT *, {_OPEN} FROM opened_products"""
+)
+ORACLE["scd1_product_update"] = sql(
+    """SELECT d.* REPLACE (CAST(d.unit_price AS DOUBLE) AS unit_price)
+       FROM delta_named d JOIN base_products b ON d.product_id = b.product_id"""
+)
 
 # Metrics --------------------------------------------------------------------
 _SUMS = """CAST(sum(gross) AS DOUBLE) AS gross_amount,
@@ -778,12 +827,20 @@ ORACLE["dp02_step_checks"] = sql(
 )
 ORACLE["dp02_events"] = sql("SELECT * FROM dp02_e")
 ORACLE["dp02_profiles"] = sql("SELECT * FROM dp02_p")
-_ODD = "(SELECT * FROM profiles WHERE nulos = total_filas AND valores_distintos > 0)"
-ORACLE["dp02_profiles_default"] = sql(
-    f"""{_dp02_profiles(_ODD)}
+_WITH_NULLS = "(SELECT * FROM profiles WHERE nulos > 0)"
+_ODD = """(SELECT * FROM profiles
+           WHERE nulos > 0 AND valores_distintos = 0 AND nulos < total_filas)"""
+
+
+def _or_default(case: str, rows: str) -> str:
+    return f"""SELECT *, '{case}' AS caso FROM ({_dp02_profiles(rows)}
         UNION ALL
         SELECT 'sin_perfilado_disponible', 0, 0, 0, 0, 0, {BATCH}
-        WHERE NOT EXISTS (SELECT * FROM {_ODD})"""
+        WHERE NOT EXISTS (SELECT * FROM {rows}))"""
+
+
+ORACLE["dp02_profiles_default"] = sql(
+    f"{_or_default('con_nulos', _WITH_NULLS)} UNION ALL {_or_default('sin_valores', _ODD)}"
 )
 
 # Dashboards -----------------------------------------------------------------

@@ -319,7 +319,7 @@ def dim_geography(i: Inputs) -> DataFrame:
 @query
 def dim_geography_extend(i: Inputs) -> DataFrame:
     return star.extend_dim_geography(
-        _geography(i, i.base_orders.filter("employee_id < 20")), i.delta_orders
+        _geography(i, i.early_orders), i.delta_orders
     )
 
 
@@ -328,6 +328,15 @@ def dim_customer(i: Inputs) -> DataFrame:
     return star.build_dim_customer(i.customers, i.dim_geography)
 
 
+@query
+def dim_customer_extend(i: Inputs) -> DataFrame:
+    """The customers that a delta adds to the dimension, in their places."""
+    known = i.base_customers.select("customer_id")
+    return merge.insert_new(
+        star.build_dim_customer(i.delta_customers, i.dim_geography), known, ["customer_id"]
+    )
+
+
 @query
 def dim_employee(i: Inputs) -> DataFrame:
     return star.build_dim_employee(i.employees, i.dim_geography)
@@ -340,7 +349,7 @@ def dim_shipper(i: Inputs) -> DataFrame:
 
 @query
 def dim_product(i: Inputs) -> DataFrame:
-    return star.build_dim_product(i.products, i.categories, i.suppliers)
+    return star.denormalise_products(i.products, i.categories, i.suppliers)
 
 
 @query
@@ -389,6 +398,14 @@ def fact_lines_delta(i: Inputs) -> DataFrame:
     return star.build_fact(i.order_details, i.delta_orders, _delta_dims(i), "lenient")
 
 
+@query
+def dropped_lines(i: Inputs) -> DataFrame:
+    """Lines that a delta cannot load while its new customers and products are unknown."""
+    return star.dropped_lines(
+        i.order_details, i.delta_orders, i.base_customers, i.base_products
+    ).select("order_id", "product_id", "line_number", "quantity")
+
+
 @query
 def fact_insert_ignore(i: Inputs) -> DataFrame:
     """Lines of all orders into a fact that holds those before the delta: known keys are
@@ -445,6 +462,29 @@ def scd2_product_init(i: Inputs) -> DataFrame:
     )
 
 
+def _named(i: Inputs, products: DataFrame) -> DataFrame:
+    return star.denormalise_products(products, i.categories, i.suppliers)
+
+
+@query
+def scd2_product_apply(i: Inputs) -> DataFrame:
+    from silostar.model import PRODUCT_ATTRIBUTES
+
+    key, extra = ["product_id"], ["stock_alarm_level"]
+    old = history.scd2_init(_named(i, i.base_products), key, PRODUCT_ATTRIBUTES, LOAD_TS, extra)
+    incoming = _named(i, i.delta_products)
+    return history.scd2_apply(old, incoming, key, PRODUCT_ATTRIBUTES, BATCH_TS, extra)
+
+
+@query
+def scd1_product_update(i: Inputs) -> DataFrame:
+    from silostar.model import PRODUCT_ATTRIBUTES
+
+    columns = (*PRODUCT_ATTRIBUTES, "stock_alarm_level")
+    dim, incoming = (_named(i, p) for p in (i.base_products, i.delta_products))
+    return merge.scd1_update(dim, incoming, ["product_id"], columns)
+
+
 # Metrics --------------------------------------------------------------------
 @query
 def customer_sales_metrics(i: Inputs) -> DataFrame:
@@ -512,10 +552,15 @@ def dp02_profiles(i: Inputs) -> DataFrame:
 
 @query
 def dp02_profiles_default(i: Inputs) -> DataFrame:
-    """The summary of the profiled columns that are all null and yet have values: none, so
-    the row that says so."""
-    odd = _profiles(i).filter("nulos = total_filas AND valores_distintos > 0")
-    return publication.dp02_profiles_or_default(odd, history.timestamp(BATCH_TS))
+    """The summary of the columns with nulls, and that of the columns with nothing else that
+    are not all null, each with the row that stands in where there is none."""
+    now, profiles = history.timestamp(BATCH_TS), _profiles(i)
+    cases = {"con_nulos": "nulos > 0", "sin_valores": "nulos > 0 AND valores_distintos = 0 AND nulos < total_filas"}
+    parts = [
+        publication.dp02_profiles_or_default(profiles.filter(test), now).withColumn("caso", F.lit(name))
+        for name, test in cases.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 # Dashboards -----------------------------------------------------------------

@@ -1,3 +1,5 @@
+import pytest
+
 from silostar import model
 from silostar.sources.delimited import (
     header_map,
@@ -24,7 +26,7 @@ def test_null_rules(spark, tmp_path):
         'idKey,a,b\n1,NULL,x\n2,,\n3,"",y\n4,"he said ""hi""","l1\nl2"\n5,z\n6\n7,1,2,3\n8,,q,\n'
         '9,"p,q"\n10,"NULL",0x1\n',
     )
-    got = rows(read_raw(spark, path, ["id_key", "a", "b"]))
+    got = rows(read_raw(spark, path, ["id_key", "a", "b"], multi_line=True))
     assert got == [
         ("1", None, "x"),
         ("2", "", ""),
@@ -70,14 +72,46 @@ def test_single_line_mode(spark, tmp_path):
     assert rows(read_raw(spark, path, ["a", "b"], multi_line=False)) == [("1", ""), ("2", None)]
 
 
-def test_scores(spark, tmp_path):
+LINE_BREAKS = {
+    "in the last field": 'a,b\n1,"x\ny"\n',
+    "in the first field": 'a,b\n"x\ny",1\n',
+    "twice": 'a,b\n1,"x\n\ny"\n2,3\n',
+}
+
+
+@pytest.mark.parametrize("text", LINE_BREAKS.values(), ids=LINE_BREAKS)
+def test_line_breaks_are_reported_unless_asked_for(spark, tmp_path, text):
+    path = write(tmp_path, "a.csv", text)
+    with pytest.raises(Exception, match="use multi_line"):
+        read_raw(spark, path, ["a", "b"]).collect()
+    assert "\n" in str(rows(read_raw(spark, path, ["a", "b"], multi_line=True))).replace("\\n", "\n")
+
+
+def test_line_breaks_in_scores_and_countries(spark, tmp_path):
+    scores = write(tmp_path, "s.csv", 'customerID;score\n"A\nB";1\n')
+    with pytest.raises(Exception, match="use multi_line"):
+        read_scores(spark, scores)[0].collect()
+    assert rows(read_scores(spark, scores, multi_line=True)[0]) == [("A\nB", "1")]
+    countries = write(
+        tmp_path, "w.csv",
+        "Country,Abbreviation,Capital/Major City,Official language,Currency-Code,Latitude,Longitude\n"
+        'Peru,PE,"Li\nma",Spanish,PEN,1,2\n',
+    )
+    with pytest.raises(Exception, match="use multi_line"):
+        read_country_attributes(spark, countries).collect()
+    assert rows(read_country_attributes(spark, countries, multi_line=True))[0][2] == "Li\nma"
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_scores(spark, tmp_path, multi_line):
     path = write(tmp_path, "s.csv", "customerID;score\n ALFKI ;\t4 \nANATR;\nSHORT\nNULL;1\n")
-    kept, rejected = read_scores(spark, path)
+    kept, rejected = read_scores(spark, path, multi_line)
     assert rows(kept) == [("ALFKI", "4"), ("ANATR", ""), ("", "1")]
     assert rows(rejected) == [("SHORT", "SHORT")]
 
 
-def test_country_attributes_last_record_counts(spark, tmp_path):
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_country_attributes_last_record_counts(spark, tmp_path, multi_line):
     path = write(
         tmp_path, "w.csv",
         "Country,Density,Abbreviation,Capital/Major City,Official language,Currency-Code,"
@@ -86,7 +120,7 @@ def test_country_attributes_last_record_counts(spark, tmp_path):
         "Chile,25,CL,Santiago,,CLP,,-70.6\n"
         "Peru,26, PE ,Lima,Spanish,PEN,-9.1,-75.0\n",
     )
-    got = sorted(rows(read_country_attributes(spark, path)))
+    got = sorted(rows(read_country_attributes(spark, path, multi_line)))
     assert got == [
         ("Chile", "CL", "Santiago", "", "CLP", None, "-70.6"),
         ("Peru", "PE", "Lima", "Spanish", "PEN", "-9.1", "-75.0"),

@@ -2,8 +2,10 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from silostar.operators import history, keys, merge, ranking
-from silostar.session import cut_lineage
+from silostar.sources.tables import Warehouse
 
 T1, T2, T3 = (datetime(2024, 1, d) for d in (1, 2, 3))
 
@@ -52,9 +54,11 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
         return spark.read.parquet(f"{tmp_path}/{name}")
 
     target = table("target", 10_000)
-    batch = cut_lineage(table("batch", 100).join(table("more", 100), ["k", "v"]), str(tmp_path))
-    lines = merge.not_present(batch, target, ["k"])._jdf.queryExecution().executedPlan()
-    text = lines.toString().splitlines()
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    with wh.transaction():
+        batch = wh.intermediate(table("batch", 100).join(table("more", 100), ["k", "v"]))
+        lines = merge.not_present(batch, target, ["k"])._jdf.queryExecution().executedPlan()
+        text = lines.toString().splitlines()
     semi = next(i for i, line in enumerate(text) if "LeftSemi" in line)
     scan = next(i for i, line in enumerate(text) if i > semi and "FileScan" in line)
     assert "BroadcastHashJoin" in text[semi]
@@ -62,12 +66,15 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert "ReadSchema: struct<k:bigint>" in text[scan]
 
 
-def test_intermediate_tables_go_where_the_cluster_says(spark, frame, tmp_path):
-    folder = spark.conf.get("spark.checkpoint.dir", str(tmp_path))
-    kept = cut_lineage(frame("a int", (1,)), str(tmp_path))
-    assert rows(kept) == [(1,)]
-    assert all(folder in f for f in kept.inputFiles())
-    assert rows(cut_lineage(frame("a int").limit(0), str(tmp_path))) == []
+def test_intermediate_tables_end_with_the_transaction(spark, frame, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    with wh.transaction():
+        kept = wh.intermediate(frame("a int", (1,)))
+        assert rows(kept) == [(1,)] and all(wh.root in f for f in kept.inputFiles())
+        assert rows(wh.intermediate(frame("a int").limit(0))) == []
+    assert list((tmp_path / "_intermediate").iterdir()) == []
+    with pytest.raises(RuntimeError):
+        wh.intermediate(frame("a int"))
 
 
 def test_scd1_update(frame):

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from silostar.workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 THRESHOLDS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -27,8 +28,8 @@ def plan(df) -> str:
 
 
 def test_no_nested_loops_and_no_python(large_tables):
-    for name, query in entry.queries().items():
-        text = plan(query(large_tables, FOLDER))
+    for name in QUERIES:
+        text = plan(entry.queries()[name](large_tables, FOLDER))
         for operator in ("NestedLoop", "Cartesian", "PythonUDF", "ArrowEval", "ExistingRDD"):
             assert operator not in text, (name, operator)
 
@@ -54,3 +55,34 @@ def test_sales_orders_stay_partitioned_by_order(large_tables):
 def test_latest_rows_are_pruned_before_the_shuffle(large_tables):
     text = plan(entry.queries()["latest_checks"](large_tables, FOLDER))
     assert text.count("WindowGroupLimit") == 2
+
+
+def test_sales_copies_no_rows(large_tables):
+    assert "Expand" not in plan(entry.queries()["dp01_sales_geo_score"](large_tables, FOLDER))
+
+
+def test_lines_do_not_move_for_a_small_batch_of_written_headers(spark, tmp_path, frame):
+    from silostar.plans import star
+
+    spark.range(50_000).selectExpr(
+        "id AS order_id", "id % 50 AS product_id", "CAST(1 AS DECIMAL(12,4)) AS unit_price",
+        "CAST(2 AS INT) AS quantity", "CAST(0 AS DECIMAL(12,10)) AS discount",
+    ).write.parquet(f"{tmp_path}/lines")
+    headers = spark.range(20).selectExpr(
+        "id AS order_id", *(f"id AS {c}" for c in ("customer_key", "employee_key", "shipper_key", "ship_geography_key")),
+        *(f"CAST(id AS INT) AS {c}_key" for c in star.ORDER_DATES), "CAST(1 AS DECIMAL(12,4)) AS order_freight_amount",
+    )
+    headers.write.parquet(f"{tmp_path}/headers")
+    dims = {"product": frame("product_id bigint, product_key bigint", *((i, i) for i in range(50)))}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "30000")
+    try:
+        fact = star.build_fact(
+            spark.read.parquet(f"{tmp_path}/lines"), None, dims, "lenient", spark.read.parquet(f"{tmp_path}/headers")
+        )
+        lines = plan(fact).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "/lines" in x)
+    join = max(i for i, x in enumerate(lines[:scan]) if "Join" in x)
+    assert "BroadcastHashJoin [order_id" in lines[join]
+    assert not any("Exchange" in x for x in lines[join:scan])

@@ -2,6 +2,7 @@
 
 import csv
 from datetime import datetime
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +142,7 @@ def test_delta_enrichment_and_publication(loaded, files):
     wh, _ = loaded
     summary = steps.delta_load(wh, files, T1, approx_profiles=True)
     # 12 and 13 are new; line (10, 1) is known and ignored
+    assert summary.pop("total_segundos") > 0
     assert summary == {
         "fechas_nuevas": 2, "geografias_nuevas": 2, "clientes_modificados": 2,
         "productos_modificados": 2, "lineas_descartadas": 0, "lineas_hecho_nuevas": 3,
@@ -169,7 +171,16 @@ def test_delta_enrichment_and_publication(loaded, files):
     net = rows(wh.read(steps.CUSTOMER_METRICS).select("customer_id", "order_count"))
     assert net == [("AAA", 2), ("BBB", 1), ("DDD", 1)]
 
+    changed = rows(wh.read(steps.CHANGES).select("fecha", "entidad", "clave"))
+    assert changed == [(T1, "customer", "AAA"), (T1, "customer", "DDD"), (T1, "product", "1"), (T1, "product", "3")]
+    metrics = {t: rows(wh.read(t).drop("fecha_calculo")) for t in (steps.CUSTOMER_METRICS, steps.PRODUCT_METRICS)}
+    steps.refresh_metrics(wh, T1, full=True)
+    assert metrics == {t: rows(wh.read(t).drop("fecha_calculo")) for t in metrics}
+
+    closed = wh.folders(steps.CUSTOMER_HISTORY, steps.CLOSED)
     again = steps.delta_load(wh, files, T2, approx_profiles=True)
+    assert wh.folders(steps.CUSTOMER_HISTORY, steps.CLOSED)[: len(closed)] == closed
+    del again["total_segundos"]
     assert set(again.values()) == {0}
     assert wh.read(steps.FACT).count() == 6 and len(versions) == wh.read(steps.CUSTOMER_HISTORY).count()
 
@@ -248,5 +259,127 @@ def test_snapshots(spark, tmp_path, frame):
     assert wh.overwrite(old.filter("v < 9"), "t") == 1
     assert rows(wh.read("t").select("k", "v")) == [("a", 1)]
     assert old.count() == 2
+    # expiry leaves the current content
+    assert wh.expire() == 3
+    assert rows(wh.read("t").select("k", "v")) == [("a", 1)]
     # another process finds the current content through the log
     assert rows(Warehouse(spark, wh.root).read("t").select("k", "v")) == [("a", 1)]
+
+
+def test_partition_values_keep_their_type(spark, tmp_path, frame):
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    wh.overwrite(frame("step string, v int", ("007", 1)), "t", ["step"])
+    wh.append(frame("v int, step string, more string", (2, "8", "x")), "t", ["step"])
+    assert rows(wh.read("t")) == [("007", 1, None), ("8", 2, "x")]
+
+
+def test_drop_lets_a_table_be_loaded_anew(spark, tmp_path, frame):
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    wh.overwrite(frame("k bigint", (5,)), "t", key="k")
+    wh.drop("t")
+    assert not wh.exists("t") and wh.highest("t") == 5
+    wh.append(frame("k bigint", (6,)), "t", key="k")
+    assert rows(Warehouse(spark, wh.root).read("t")) == [(6,)] and wh.version("t") == 3
+
+
+def test_a_transaction_is_published_whole_or_not_at_all(spark, tmp_path, frame):
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    wh.overwrite(frame("v int", (1,)), "a")
+    with pytest.raises(ZeroDivisionError), wh.transaction():
+        wh.append(frame("v int", (2,)), "a")
+        wh.overwrite(frame("v int", (3,)), "b")
+        assert rows(wh.read("a")) == [(1,), (2,)] and rows(wh.read("b")) == [(3,)]
+        1 / 0
+    for seen in (wh, Warehouse(spark, wh.root)):
+        assert rows(seen.read("a")) == [(1,)] and not seen.exists("b")
+    with wh.transaction():
+        wh.append(frame("v int", (2,)), "a")
+        wh.overwrite(frame("v int", (3,)), "b")
+    assert rows(Warehouse(spark, wh.root).read("a")) == [(1,), (2,)]
+
+
+def test_an_unreadable_log_is_no_empty_warehouse(spark, tmp_path, frame):
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    wh.overwrite(frame("v int", (1,)), "a")
+    for file in (tmp_path / "warehouse" / "_snapshots").glob("part-*"):
+        file.write_bytes(b"no parquet")
+    with pytest.raises(Exception) as error:
+        Warehouse(spark, wh.root).exists("a")
+    assert "PATH_NOT_FOUND" not in str(error.value)
+
+
+def test_data_replaced_after_its_checks_is_refused(spark, files, tmp_path):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    write(folder, model.REGIONS, [{"region_id": "1", "region_description": "East"}])
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    steps.acquire(wh, str(folder), [model.REGIONS])
+    steps.check_raw(wh, [model.REGIONS], T0)
+    write(folder, model.REGIONS, [{"region_id": "1"}, {"region_id": "1"}])
+    steps.acquire(wh, str(folder), [model.REGIONS])
+    with pytest.raises(RuntimeError, match="changed since check_raw: txt_regions"):
+        steps.stage(wh, [model.REGIONS])
+
+
+class Broken(Exception):
+    pass
+
+
+def break_writes(monkeypatch, wh, table):
+    plain = type(wh)._write
+
+    def write_or_fail(self, df, name, *rest):
+        if name == table:
+            raise Broken(name)
+        return plain(self, df, name, *rest)
+
+    monkeypatch.setattr(type(wh), "_write", write_or_fail)
+
+
+def content(wh):
+    """All tables but for times, and for numbers of keys whose order is free."""
+    return {
+        t: rows(wh.read(t).select(*[c for c in wh.read(t).columns if not c.startswith("fecha_")]))
+        for t in sorted(wh._snapshots()) if wh.exists(t) and not t.startswith("dqm_")
+    }
+
+
+@pytest.mark.parametrize("step", ["load_warehouse", "update_warehouse"])
+def test_a_broken_step_changes_nothing_and_runs_again(spark, files, tmp_path, monkeypatch, step):
+    def prepared(name):
+        wh = Warehouse(spark, str(tmp_path / name))
+        run = partial(steps.load_warehouse, wh, T0)
+        steps.acquire(wh, files, model.INITIAL)
+        steps.check_raw(wh, model.INITIAL, T0)
+        steps.stage(wh, model.INITIAL)
+        steps.check_keys(wh, model.INITIAL_KEYS, T0)
+        steps.check_staged(wh, T0)
+        if step == "update_warehouse":
+            run()
+            steps.acquire(wh, files, model.DELTA, "acquire_delta")
+            steps.check_raw(wh, model.DELTA, T1, "check_delta")
+            steps.stage(wh, model.DELTA, "stage_delta", "check_delta")
+            steps.check_keys(wh, model.DELTA_KEYS, T1, "check_delta_keys")
+            run = partial(steps.update_warehouse, wh, T1)
+        return wh, run
+
+    whole, run = prepared("whole")
+    before = {t: whole.version(t) for t in whole._snapshots()}
+    expected = run()
+    written = sorted(t for t in whole._snapshots() if whole.version(t) != before.get(t, 0))
+    assert len(written) >= 10
+
+    wh, run = prepared("broken")
+    before = content(wh)
+    for table in written:
+        with monkeypatch.context() as patch:
+            break_writes(patch, wh, table)
+            with pytest.raises(Broken):
+                run()
+        assert {t for t in wh._snapshots() if wh.exists(t)} == set(before) | {
+            t for t in wh._snapshots() if t.startswith("dqm_")
+        }
+    assert content(Warehouse(spark, wh.root)) == before
+    summary = run()
+    summary.pop("total_segundos", None), expected.pop("total_segundos", None)
+    assert summary == expected and content(wh) == content(whole)
