@@ -10,8 +10,8 @@ Bands of coordinates give buckets. Links are only ever confirmed on the full shi
 Since a class of near copies has far more links than it needs to hang together, links are
 tried in rounds: each text first with one central text of its buckets, then with the most
 similar text that it does not yet hang together with, and at last all pairs of a bucket that
-still lie in different components. So no link that joins components is left out, and the
-pairs within a component are not listed.
+still lie in different components are compared where the bucket's sets are, so that only links
+leave the task. So no link that joins components is left out, and no pairs are listed.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ BANDS, ROWS = 32, 5  # a pair at 0.8 is missed by all bands once in 300,000 pair
 # Sketches that agree less than this are not verified: four deviations below 0.8.
 LEAST_AGREEMENT = 0.7
 # Members of a bucket that one task compares at once; larger buckets are cut into blocks.
-BLOCK = 2048
+BLOCK = 1024
 # Texts that are verified against one central text in one run.
 RUN = 512
 # Rounds that try the best partner of each text before all remaining pairs are tried.
@@ -237,13 +237,9 @@ def central_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def open_pairs(members: DataFrame, labels: DataFrame, found: DataFrame, every: bool) -> DataFrame:
-    """Pairs of a bucket in different components whose sketches agree enough: a, b, agreement.
-
-    Of each node the two best partners, or ``every`` pair. Only buckets with several
-    components are read; a bucket of more than BLOCK nodes is cut into blocks, and each pair
-    of blocks is compared by itself.
-    """
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """bucket, node, component, x, y: the members of buckets with several components. A
+    bucket of more than BLOCK nodes is cut, and each two blocks x, y of it are a group."""
     labelled = members.join(labels, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")
     )
@@ -255,46 +251,101 @@ def open_pairs(members: DataFrame, labels: DataFrame, found: DataFrame, every: b
     )
     own = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("n_blocks") - 1)
-    blocks = (
+    return (
         labelled.join(unfinished, "bucket")
         .withColumn("own", own)
         .select("bucket", "node", "component", "own", F.explode(others).alias("other"))
         .select("bucket", "node", "component",
                 F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     )
-    sketched = blocks.join(
-        found.filter(F.col("node").isNotNull()).groupBy("node").agg(F.first("sketch").alias("sketch")), "node"
-    )
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "node")
+
+
+def _agreement(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Some rows at a time, how much the sketches of nodes in different components agree;
+    0 within a component."""
+    component = np.unique([bytes(c) for c in group["component"]], return_inverse=True)[1]
+    rows = np.frombuffer(b"".join(group["sketch"]), np.uint16).reshape(len(group), -1)
+    for at in range(0, len(group), 16):
+        agree = (rows[at : at + 16, None, :] == rows[None, :, :]).mean(2)
+        agree[component[at : at + 16, None] == component[None, :]] = 0
+        yield at, agree
+
+
+def best_pairs(open_: DataFrame, sketches_: DataFrame) -> DataFrame:
+    """a, b, agreement: of each node b of a group the two partners in other components whose
+    sketches agree most, if they agree enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in runs(batches, ["bucket", "x", "y"]):
-            m = len(group)
-            nodes = group["node"].to_numpy()
-            _, component = np.unique([bytes(c) for c in group["component"]], return_inverse=True)
-            rows = np.frombuffer(b"".join(group["sketch"]), np.uint16).reshape(m, -1)
-            out = []
-            for at in range(0, m, 16):
-                some = rows[at : at + 16]
-                agree = (some[:, None, :] == rows[None, :, :]).mean(2)
-                agree[component[at : at + 16, None] == component[None, :]] = 0
-                if every:
-                    i, j = np.nonzero(agree >= LEAST_AGREEMENT)
-                    once = i + at > j
-                    i, j = i[once], j[once]
-                else:
-                    j = np.argsort(-agree, 1, kind="stable")[:, :2]
-                    i = np.repeat(np.arange(len(some)), j.shape[1])
-                    j = j.ravel()
-                    good = agree[i, j] >= LEAST_AGREEMENT
-                    i, j = i[good], j[good]
+            nodes, out = group["node"].to_numpy(), []
+            for at, agree in _agreement(group):
+                j = np.argsort(-agree, 1, kind="stable")[:, :2]
+                i = np.repeat(np.arange(len(agree)), j.shape[1])
+                j = j.ravel()
+                good = agree[i, j] >= LEAST_AGREEMENT
+                i, j = i[good], j[good]
                 out += zip(nodes[j], nodes[i + at], agree[i, j])
             yield pd.DataFrame(out, columns=["a", "b", "agreement"])
 
-    return (
-        sketched.repartition("bucket", "x", "y")
-        .sortWithinPartitions("bucket", "x", "y", "node")
-        .mapInPandas(run, "a binary, b binary, agreement double")
+    return _grouped(open_.join(sketches_, "node")).mapInPandas(run, "a binary, b binary, agreement double")
+
+
+def remaining_links(open_: DataFrame, sketches_: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """a, b: links between components, enough to join all that a link joins.
+
+    A first pass finds the nodes that have a partner in another component whose sketch agrees
+    enough; a pair that shares several buckets counts in the first of them. The second pass
+    has the full sets of these nodes, and compares each with all nodes of other components
+    of its group. A set moves once per group, not per pair.
+    """
+    buckets = open_.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in runs(batches, ["bucket", "x", "y"]):
+            bucket = group["bucket"].iloc[0]
+            before = [frozenset(v for v in b if v < bucket) for b in group["buckets"]]
+            some = np.zeros(len(group), bool)
+            for at, agree in _agreement(group):
+                for i, j in zip(*np.nonzero(agree >= LEAST_AGREEMENT)):
+                    i += at
+                    if not (some[i] and some[j]) and before[i].isdisjoint(before[j]):
+                        some[i] = some[j] = True
+            yield group.loc[some, ["bucket", "node", "component", "x", "y"]]
+
+    picked = _grouped(open_.join(sketches_, "node").join(buckets, "node")).mapInPandas(
+        pick, "bucket long, node binary, component binary, x int, y int"
     )
+    percent = round(100 * similarity)
+
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in runs(batches, ["bucket", "x", "y"]):
+            nodes = group["node"].to_numpy()
+            label = np.unique([bytes(c) for c in group["component"]], return_inverse=True)[1]
+            parts = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
+            sizes = np.array([len(p) for p in parts])
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            values, codes = np.unique(np.concatenate(parts), return_inverse=True)
+            has, out = np.zeros(len(values), np.int32), []
+            for i, (start, size) in enumerate(zip(starts, sizes)):
+                if (label == label[i]).all():
+                    break
+                own = codes[start : start + size]
+                has[own] = 1
+                both = np.add.reduceat(has[codes], starts)
+                has[own] = 0
+                linked = 100 * both >= percent * (size + sizes - both)
+                # One link to each other component, which then is the same one.
+                for other in np.unique(label[linked & (label != label[i])]):
+                    j = np.nonzero(linked & (label == other))[0][0]
+                    out.append((nodes[i], nodes[j]))
+                    label[label == other] = label[i]
+            yield pd.DataFrame(out, columns=["a", "b"], dtype=object)
+
+    return _grouped(picked.join(sets, "node")).mapInPandas(link, "a binary, b binary")
 
 
 def _unordered(pairs: DataFrame) -> DataFrame:
@@ -321,26 +372,24 @@ def duplicates(
     nodes = members.select("node").distinct().join(classes, "node")
     sets = stored(node_sets(df, nodes, key, text, width), "sets")
 
+    sketches_ = named.groupBy("node").agg(F.first("sketch").alias("sketch")).join(
+        members.select("node").distinct(), "node", "left_semi"
+    )
     pairs = stored(central_pairs(members), "pairs")
     links = stored(verify(pairs, sets, similarity), "links")
     tried = _unordered(pairs)
     labels = components(links)
-    for turn in range(BEST_ROUNDS + 1):
-        every = turn == BEST_ROUNDS
-        pairs = open_pairs(members, labels, named, every)
-        pairs = pairs.groupBy("a", "b").agg(F.max("agreement").alias("agreement"))
-        fresh = pairs.join(
+    for _ in range(BEST_ROUNDS):
+        best = best_pairs(open_members(members, labels), sketches_)
+        fresh = best.join(
             tried, (F.least("a", "b") == F.col("low")) & (F.greatest("a", "b") == F.col("high")), "left_anti"
-        )
-        if not every:
-            fresh = fresh.groupBy("b").agg(F.max(F.struct("agreement", "a")).alias("best")).select("best.a", "b")
-        fresh = stored(fresh.select("a", "b"), "pairs")
-        new = stored(verify(fresh, sets, similarity), "links")
+        ).groupBy("b").agg(F.max(F.struct("agreement", "a")).alias("best"))
+        fresh = stored(fresh.select("best.a", "b"), "pairs")
         tried = tried.unionByName(_unordered(fresh))
-        if new.isEmpty():
-            continue
-        links = links.unionByName(new)
+        links = links.unionByName(stored(verify(fresh, sets, similarity), "links"))
         labels = components(links)
+    last = stored(remaining_links(open_members(members, labels), sketches_, sets, similarity), "links")
+    labels = components(links.unionByName(last))
 
     least = labels.join(classes, "node").groupBy("component").agg(F.min("key").alias("component_id"))
     groups = labels.join(least, "component").select("node", "component_id")
