@@ -31,7 +31,11 @@ MAX_WORDS = 500_000
 MAX_EDGES = 12_000_000
 # Longer words are filtered anew each time they occur.
 LONGEST_KEPT = 200
+# Words up to this length, of characters that are pieces, are filtered many at a time.
+SHORT = 24
+_AT_ONCE = 8192
 MARK = "▁"  # stands for a space in pieces
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Vocabulary:
@@ -65,11 +69,23 @@ class Vocabulary:
             raise ValueError("the model has no pieces for bytes: it cannot encode all texts")
         self.edges = self.pieces | {chr(0xD800 + v): (i, 1.0) for v, i in enumerate(self.bytes)}
         self.longest = max(map(len, self.pieces))
+        self.by_length = [self._hashed(n) for n in range(1, self.longest + 1)]
         self.by_word = not any(" " in p.lstrip(" ") for p in self.pieces)
         lone = not any("\n" in p and len(p) > 1 for p in self.pieces)
         # Words with the spaces before them; line ends apart, if no longer piece has them.
         self.words = re.compile(r" *[^ \n]+|\n| +" if lone else r" *[^ ]+| +")
 
+    def _hashed(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted hashes of the pieces of one length, with their ids and weights."""
+        pieces = [p for p in self.pieces if len(p) == length] or ["\0" * length]
+        codes = np.array([[ord(c) for c in p] for p in pieces], np.uint64)
+        h = np.zeros(len(pieces), np.uint64)
+        for k in range(length):
+            h = mix(h * _BASE + codes[:, k])
+        order = np.argsort(h)
+        found = [self.pieces.get(pieces[k], (-1, 0.0)) for k in order]
+        return h[order], np.array([i for i, _ in found], np.int32), np.array([w for _, w in found])
+
     def split(self, text: str) -> list[str]:
         return self.words.findall(text) if self.by_word else [text] if text else []
 
@@ -122,6 +138,11 @@ class Sampler:
             if total < 1e-150:  # only ratios within the longest piece count
                 for k in range(max(0, end + 1 - longest), end + 1):
                     sums[k] *= 1e150
+        self._add(reach, start, ids)
+        self.states = first + len(units) + 1
+        return first, len(units)
+
+    def _add(self, reach, start, ids) -> None:
         need = self.n_edges + len(reach)
         while need > len(self.reach):
             self.reach, self.start, self.id = (
@@ -129,8 +150,44 @@ class Sampler:
             )
         part = slice(self.n_edges, need)
         self.reach[part], self.start[part], self.id[part] = reach, start, ids
-        self.n_edges, self.states = need, first + len(units) + 1
-        return first, len(units)
+        self.n_edges = need
+
+    def _learn_short(self, words: list[str]) -> None:
+        """The same for many short words at once: a row per word, a column per place."""
+        n, longest = len(words), self.vocabulary.longest
+        sizes = np.array([len(w) for w in words])
+        width = int(sizes.max())
+        padded = "".join(w.ljust(width, "\0") for w in words)  # no piece holds the filling
+        codes = np.frombuffer(padded.encode("utf-32-le"), np.uint32).reshape(n, width).astype(np.uint64)
+        ids, weights, h = [], [], np.zeros((n, width), np.uint64)
+        for length in range(1, min(longest, width) + 1):
+            h = mix(h[:, : width - length + 1] * _BASE + codes[:, length - 1 :])
+            keys, of_key, weight = self.vocabulary.by_length[length - 1]
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            hit = keys[at] == h
+            ids.append(np.where(hit, of_key[at], -1))
+            weights.append(np.where(hit, weight[at], 0.0))
+        first = self.states + np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+        sums = np.zeros((width + 1, n))
+        sums[0] = 1.0
+        parts = []
+        for end in range(1, width + 1):
+            lengths = range(min(longest, end), 0, -1)  # in the order of their start
+            shares = [sums[end - k] * weights[k - 1][:, end - k] for k in lengths]
+            running = np.cumsum(shares, 0)
+            sums[end] = running[-1]
+            for k, share in zip(lengths, running):
+                row = np.nonzero((ids[k - 1][:, end - k] >= 0) & (end <= sizes))[0]
+                state = first[row] + end
+                parts.append((state, state + share[row] / sums[end][row], np.full(len(row), -k), ids[k - 1][row, end - k]))
+        state, reach, start, found = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(state, kind="stable")
+        state, reach = state[order], reach[order]
+        last = np.append(state[1:] != state[:-1], True)
+        reach[last] = state[last] + 1.0
+        self._add(reach, start[order], found[order])
+        self.states = int(first[-1] + sizes[-1] + 1)
+        self.known.update(zip(words, zip(first.tolist(), sizes.tolist())))
 
     def __call__(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """Ids of each text, drawn by its key."""
@@ -139,9 +196,16 @@ class Sampler:
         split = [self.vocabulary.split(t) for t in texts]
         known = self.known
         once: dict[str, tuple[int, int]] = {}
+        single, short = self.vocabulary.pieces.keys(), []
         for word in set().union(*split):
             if word not in known:
-                (known if len(word) <= LONGEST_KEPT else once)[word] = self._learn(word)
+                if len(word) <= SHORT and single >= set(word):
+                    short.append(word)
+                else:
+                    (known if len(word) <= LONGEST_KEPT else once)[word] = self._learn(word)
+        short.sort(key=len)  # words of about one length fill a table
+        for k in range(0, len(short), _AT_ONCE):
+            self._learn_short(short[k : k + _AT_ONCE])
         look = known if not once else known | once
         counts = [len(w) for w in split]
         found = np.array([look[w] for words in split for w in words], np.int64).reshape(-1, 2)
