@@ -24,6 +24,7 @@ BITS = 14
 # Labelled texts that the likelihoods are learnt from at most, and languages at most.
 SAMPLE = 4000
 MOST_LANGUAGES = 64
+FIT_TASKS = 8
 # Pseudo-counts by which a host leans on its domain, a domain and a declaration on the corpus.
 STRENGTH = 5.0
 # Trigrams overlap: a text counts as half as many, and a long one as this many.
@@ -59,7 +60,9 @@ def fit(df: DataFrame, key: str, text: str, language: str, sample: int = SAMPLE)
         .orderBy(F.xxhash64("key"), "key").limit(sample)
     )
     texts = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "key").select("language", "text")
+    # The sample is brought together first: each task hands the driver a table of counts per
+    # language, and there must not be more of them for larger inputs.
+    rows = texts.join(F.broadcast(chosen), "key").select("language", "text").repartition(FIT_TASKS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[str, list] = {}
