@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,13 +28,14 @@ from silostar.llm.minhash import mix
 ALPHA = 1.0
 SEED = 7
 # Words whose lattices a worker keeps, and their edges, before it starts anew.
-MAX_WORDS = 500_000
-MAX_EDGES = 12_000_000
+MAX_WORDS = 150_000
+MAX_EDGES = 3_000_000
 # Longer words are filtered anew each time they occur.
 LONGEST_KEPT = 200
 # Words up to this length, of characters that are pieces, are filtered many at a time.
 SHORT = 24
 _AT_ONCE = 8192
+_BITS = 32  # of a length
 MARK = "▁"  # stands for a space in pieces
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -113,16 +115,17 @@ class Sampler:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, int] = {}  # the state of a word's start, and its length
         self.states = self.n_edges = 0
+        self.edge = np.zeros(1 << 16, np.int64)  # the first edge of each state
         self.reach, self.start, self.id = np.zeros(1 << 16), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
 
-    def _learn(self, word: str) -> tuple[int, int]:
-        """The state of the word's start, and its number of places."""
+    def _learn(self, word: str) -> int:
+        """The state of the word's start, shifted, and its number of places."""
         units = self.vocabulary.units(word)
         whole, longest, get = "".join(units), self.vocabulary.longest, self.vocabulary.edges.get
         first, sums = self.states, [1.0]
-        reach, start, ids = [], [], []
+        reach, start, ids, states = [], [], [], []
         for end in range(1, len(units) + 1):
             total, shares, state = 0.0, [], first + end
             for begin in range(max(0, end - longest), end):
@@ -133,16 +136,22 @@ class Sampler:
                     start.append(begin - end)
                     ids.append(found[0])
             reach += [state + share / total for share in shares]
+            states += [state] * len(shares)
             reach[-1] = state + 1.0
             sums.append(total)
             if total < 1e-150:  # only ratios within the longest piece count
                 for k in range(max(0, end + 1 - longest), end + 1):
                     sums[k] *= 1e150
-        self._add(reach, start, ids)
         self.states = first + len(units) + 1
-        return first, len(units)
-
-    def _add(self, reach, start, ids) -> None:
+        self._add(np.array(states), reach, start, ids)
+        return first << _BITS | len(units)
+
+    def _add(self, states: np.ndarray, reach, start, ids) -> None:
+        """Edges in the order of their states."""
+        while self.states > len(self.edge):
+            self.edge = np.concatenate([self.edge, np.zeros_like(self.edge)])
+        begins = np.nonzero(np.append(True, states[1:] != states[:-1]))[0]
+        self.edge[states[begins]] = self.n_edges + begins
         need = self.n_edges + len(reach)
         while need > len(self.reach):
             self.reach, self.start, self.id = (
@@ -185,9 +194,9 @@ class Sampler:
         state, reach = state[order], reach[order]
         last = np.append(state[1:] != state[:-1], True)
         reach[last] = state[last] + 1.0
-        self._add(reach, start[order], found[order])
         self.states = int(first[-1] + sizes[-1] + 1)
-        self.known.update(zip(words, zip(first.tolist(), sizes.tolist())))
+        self._add(state, reach, start[order], found[order])
+        self.known.update(zip(words, (first << _BITS | sizes).tolist()))
 
     def __call__(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """Ids of each text, drawn by its key."""
@@ -195,7 +204,7 @@ class Sampler:
             self._clear()
         split = [self.vocabulary.split(t) for t in texts]
         known = self.known
-        once: dict[str, tuple[int, int]] = {}
+        once: dict[str, int] = {}
         single, short = self.vocabulary.pieces.keys(), []
         for word in set().union(*split):
             if word not in known:
@@ -208,8 +217,8 @@ class Sampler:
             self._learn_short(short[k : k + _AT_ONCE])
         look = known if not once else known | once
         counts = [len(w) for w in split]
-        found = np.array([look[w] for words in split for w in words], np.int64).reshape(-1, 2)
-        first, length = found[:, 0], found[:, 1]
+        found = np.fromiter(map(look.__getitem__, chain.from_iterable(split)), np.int64, sum(counts))
+        first, length = found >> _BITS, found & ((1 << _BITS) - 1)
         text = np.repeat(np.arange(len(texts)), counts)
         before = np.concatenate([[0], np.cumsum(length)[:-1]]) if len(length) else length
         # The place of a word in its own text, not in the batch.
@@ -217,14 +226,18 @@ class Sampler:
         offset = before - (before[np.minimum(begins, max(0, len(before) - 1))][text] if len(before) else 0)
         key = np.array(keys, np.uint64)[text]
 
-        reach = self.reach[: self.n_edges]
         at, which = length.copy(), np.arange(len(length))
         ends, drawn = [], []
         while len(which):
             here = at[which]
             place = (offset[which] + here).astype(np.uint64)
             u = (mix(key[which] + place * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(12)) * 2.0**-52
-            edge = np.searchsorted(reach, first[which] + here + u, "right")
+            state = first[which] + here
+            edge, target = self.edge[state], state + u
+            below = np.nonzero(self.reach[edge] <= target)[0]
+            while len(below):  # most places have one edge or two
+                edge[below] += 1
+                below = below[self.reach[edge[below]] <= target[below]]
             ends.append(before[which] + here)
             drawn.append(self.id[edge])
             at[which] = here + self.start[edge]
