@@ -19,6 +19,54 @@ WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
   AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 """
 
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    return (
+        f"xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length({text}) + 1), "
+        f"lambda i: ord(substr({text}, i, 1))::BIGINT), lambda c, b: "
+        "list_reduce([xor(c, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], "
+        "lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+    )
+
+
+# Repair: an edit is (initial, cost, next role state). States: none, system, user, assistant.
+_STEPS = """
+moves(q, letter, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+wants(q, letter, role) AS (VALUES (0, 'u', 'user'), (1, 'u', 'user'), (2, 'a', 'assistant'), (3, 'u', 'user')),
+inserts(q, q2, cost, letters, lines) AS (VALUES
+  (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+  (0, 2, 5, 'I', ['user:']), (1, 2, 5, 'I', ['user:']), (2, 3, 5, 'I', ['assistant:']), (3, 2, 5, 'I', ['user:']),
+  (0, 3, 10, 'II', ['user:', 'assistant:']), (1, 3, 10, 'II', ['user:', 'assistant:']),
+  (2, 2, 10, 'II', ['assistant:', 'user:']), (3, 3, 10, 'II', ['user:', 'assistant:']))"""
+
+# A paragraph's hash as numbers of 60 bits, their sums, and sums of bits in fields of 20.
+_MARKS = """
+SELECT id, list_transform(list_filter(list_transform(
+         regexp_extract_all(t, '[^\\n.!?]*[.!?]+|[^\\n.!?]+'), lambda p: trim(p, ' ')), lambda p: p <> ''),
+         lambda p: sha256(p)) AS h FROM texts"""
+_NUMBERS = "list_transform(h, lambda x: ('0x' || substr(x, {at}, 15))::BIGINT)"
+_SUM = "(coalesce(list_sum({numbers}), 0)::HUGEINT % 1152921504606846976)::BIGINT"
+_BITS = "list_transform(n{k}, lambda x: (x >> {j}) & 1099512676353)"
+_ENTRIES = ", ".join(
+    ["len(h)::BIGINT"]
+    + [_SUM.format(numbers=f"n{k}") for k in range(4)]
+    + [_SUM.format(numbers=_BITS.format(k=k, j=j)) for k in range(2) for j in range(20)]
+)
+_COUNTER = "(((v >> {f}) & 1048575) * 2 - e[1] + 524288) & 1048575"
+_COUNTERS = ", ".join(f"({_COUNTER.format(f=f)}) - 524288" for f in (0, 20, 40))
+
+
+def _near(b: str) -> str:
+    dot = "list_sum(list_transform(list_zip({}.c, {}.c), lambda p: p[1] * p[2]))::DOUBLE"
+    aa, bb, ab = dot.format("a", "a"), dot.format(b, b), dot.format("a", b)
+    return (
+        f"CASE WHEN a.e = {b}.e THEN 1.0::DOUBLE WHEN {aa} * {bb} > 0 "
+        f"THEN least(greatest({ab} / sqrt({aa} * {bb}), 0.0), 1.0) ELSE 0.0::DOUBLE END"
+    )
+
+
 ORACLE = {
     "op2_embedding_dedup": f"""
 WITH RECURSIVE usable AS ({_USABLE}),
@@ -80,5 +128,115 @@ SELECT page_id, host, path, rule,
             WHEN rule IS NOT NULL THEN 'allow'
             WHEN host = '' THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
+""",
+    "op11_conversation_repair": rf"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations),
+faulty AS (SELECT *, {_crc32('name')} % 20 AS fault FROM named),
+damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE fault WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM faulty WHERE fault <> 0),
+placed AS (
+  SELECT *, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown, substr(role, 1, 1) AS letter,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i
+  FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN shown = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+         lag(letter) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+counted AS (
+  SELECT conv_id, count(*) AS n,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before || letter NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+{_STEPS},
+search AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS best FROM counted
+  UNION ALL
+  SELECT conv_id, i, q, arg_min({{'cost': cost, 'audit': audit, 'lines': lines}}, (cost, audit)) FROM (
+    SELECT s.conv_id, s.i + 1 AS i, e.q2 AS q, s.best.cost + n.cost + e.cost AS cost,
+           s.best.audit || n.letters || e.edit AS audit,
+           s.best.lines || n.lines || CASE WHEN e.line IS NULL THEN [] ELSE [e.line] END AS lines
+    FROM search s JOIN inserts n ON n.q = s.q
+    JOIN (
+      SELECT conv_id, i, q, 2 AS cost, 'D' AS edit, q AS q2, NULL AS line FROM judged, wants
+      UNION ALL
+      SELECT conv_id, i, q, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'K', q2, role || ':' || text
+      FROM judged JOIN moves USING (letter) WHERE fault IN ('none', 'truncated')
+      UNION ALL
+      SELECT conv_id, i, w.q, 1 + CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'R', m.q2, w.role || ':' || text
+      FROM judged j, wants w JOIN moves m ON m.q = w.q AND m.letter = w.letter WHERE fault IN ('none', 'truncated')
+    ) e ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND e.i = s.i + 1 AND e.q = n.q2)
+  GROUP BY conv_id, i, q),
+ended AS (
+  SELECT s.conv_id, min((s.best.cost + n.cost, s.best.audit || n.letters, s.best.lines || n.lines)) AS best
+  FROM search s JOIN counted c ON c.conv_id IS NOT DISTINCT FROM s.conv_id AND c.n = s.i
+  JOIN inserts n ON n.q = s.q WHERE n.q2 IN (0, 3) GROUP BY s.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best[1], 0)::BIGINT AS cost,
+       coalesce(best[2], '') AS audit, sha256(coalesce(array_to_string(best[3], chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN ended d ON d.conv_id IS NOT DISTINCT FROM a.conv_id
+""",
+    "op12_fingerprints": f"""
+WITH ordered AS (
+  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS id FROM documents),
+followed AS (
+  SELECT a.*, b.text AS next_text, b.id AS next_id, length(a.text) AS n FROM ordered a
+  JOIN ordered b ON b.id = a.id % (SELECT count(*) FROM ordered) + 1),
+edits AS (
+  SELECT *, substr(text, 1, n - n // 2) || substr(next_text, 1, n // 2) AS edited FROM followed),
+texts AS (SELECT id, text AS t FROM edits UNION ALL SELECT -id, edited FROM edits),
+marks AS ({_MARKS}),
+numbers AS (SELECT id, h, {", ".join(_NUMBERS.format(at=15 * k + 1) + f" AS n{k}" for k in range(4))} FROM marks),
+sums AS (SELECT id, [{_ENTRIES}] AS e FROM numbers),
+prints AS (
+  SELECT id, e, flatten(list_transform(e[6:45], lambda v: [{_COUNTERS}])) AS c,
+         array_to_string(list_transform(e, lambda x: format('{{:015x}}', x)), '') AS s FROM sums)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, a.s AS fingerprint, b.s AS edited_fingerprint,
+       {_near('b')} AS near_edited, {_near('c')} AS near_next
+FROM edits d JOIN prints a ON a.id = d.id JOIN prints b ON b.id = -d.id JOIN prints c ON c.id = d.next_id
+""",
+    "op13_prefix_trie": rf"""
+WITH turns AS (
+  SELECT conv_id, sha256(sha256(coalesce(text, '')) || coalesce(role, '')) AS turn_id,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {_crc32('conv_id::VARCHAR')} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS own, i, turn_id, words FROM convs c JOIN turns t ON t.conv_id = c.base AND i <= h
+  UNION ALL
+  SELECT c.conv_id, 1, i, turn_id, words FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND i > h),
+paths AS (
+  SELECT conv_id, words, row_number() OVER w AS depth, string_agg(turn_id, '') OVER w AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, i)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+lasts AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS is_last FROM paths),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_last), '')) AS ends_sha256
+  FROM lasts GROUP BY path, depth),
+kids AS (SELECT substr(path, 1, length(path) - 64) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN kids USING (path)),
+subtrees AS (
+  SELECT top.path, count(*) FILTER (below.n_children = 0) AS n_leaves,
+         sum((below.n_convs - 1) * below.words)::BIGINT AS saved_tokens
+  FROM (SELECT path, depth FROM nodes) top JOIN counted below ON below.path[1:64 * top.depth] = top.path
+  GROUP BY top.path)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees USING (path)
+LEFT JOIN nodes p ON c.depth > 0 AND p.path = substr(c.path, 1, length(c.path) - 64)
 """,
 }

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silostar.llm import (
-    embedding_dedup, langid, license_scan, minhash, packing, piece_sampling, quality, secret_scan,
-    token_counts, url_filter,
+    conversation_repair, embedding_dedup, fingerprint, langid, license_scan, minhash, packing, piece_sampling,
+    prefix_trie, quality, secret_scan, token_counts, url_filter,
 )
 from silostar.llm.common import new_path, small_batches, table
 
@@ -103,10 +103,28 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        *[fingerprint.listed(F.col(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")],
+        "near_edited", "near_next",
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality, op2_embedding_dedup, op3_packing, op4_minhash_dedup, op5_language_id, op6_url_filter,
-        op7_piece_sampling, op8_license_scan, op9_token_counts, op10_secret_scan,
+        op7_piece_sampling, op8_license_scan, op9_token_counts, op10_secret_scan, op11_conversation_repair,
+        op12_fingerprints, op13_prefix_trie,
     )
 }
