@@ -13,7 +13,7 @@ from datetime import datetime
 from functools import reduce
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silostar.functions.columns import (
@@ -152,23 +152,27 @@ def _scan(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
-def _duplicates(df: DataFrame, rule: Rule) -> DataFrame:
-    """Rows beyond the first of each key. A single key column leaves nulls out; in a
-    composite key null is a value like any other."""
+def measure_duplicates(df: DataFrame, rule: Rule) -> DataFrame:
+    """total, affected: rows, and rows beyond the first of each key. A single key column
+    leaves nulls out; in a composite key null is a value like any other."""
     keys = list(rule.columns)
     if rule.check_type == KEY_DUPLICATES and len(keys) == 1:
         df = df.filter(F.col(keys[0]).isNotNull())
     groups = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    totals = groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_extra"),
+    return groups.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("affected"),
     )
-    return _measured(totals, rule, F.col("_rows"), F.col("_extra"))
 
 
-def _orphans(child: DataFrame, parents: Sequence[DataFrame], rule: Rule) -> DataFrame:
-    """Child rows with a key that no parent has. Counting per child key first means a hot
-    key crosses the shuffle as one row; distinct parent keys keep the total right."""
+def _duplicates(df: DataFrame, rule: Rule) -> DataFrame:
+    return _measured(measure_duplicates(df, rule), rule, F.col("total"), F.col("affected"))
+
+
+def measure_orphans(child: DataFrame, parents: Sequence[DataFrame], rule: Rule) -> DataFrame:
+    """total, affected: child rows, and those with a key that no parent has. Counting per
+    child key first means a hot key crosses the shuffle as one row; distinct parent keys keep
+    the total right."""
     fk, pk = rule.columns[0], rule.parent_column
     fk_type = child.schema[fk].dataType
     same = all(p.schema[pk].dataType == fk_type for p in parents)
@@ -180,11 +184,14 @@ def _orphans(child: DataFrame, parents: Sequence[DataFrame], rule: Rule) -> Data
         F.count("*").alias("_n")
     )
     orphan = F.col("_key").isNotNull() & F.col("_known").isNull()
-    totals = counted.join(known, "_key", "left").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
-        F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("_orphans"),
+    return counted.join(known, "_key", "left").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("affected"),
     )
-    return _measured(totals, rule, F.col("_rows"), F.col("_orphans"))
+
+
+def _orphans(child: DataFrame, parents: Sequence[DataFrame], rule: Rule) -> DataFrame:
+    return _measured(measure_orphans(child, parents, rule), rule, F.col("total"), F.col("affected"))
 
 
 def finish(measured: DataFrame, batch_ts: datetime, step: str) -> DataFrame:
@@ -232,6 +239,15 @@ def run_checks(
     return finish(reduce(DataFrame.unionByName, parts), batch_ts, step)
 
 
+def measured_results(
+    spark: SparkSession, figures: Sequence[tuple[Rule, int, int]], batch_ts: datetime, step: str
+) -> DataFrame:
+    """Result rows of rules that were measured before: (rule, total, affected)."""
+    rows = [(r.table, r.label, r.check_type, total, affected) for r, total, affected in figures]
+    types = "tabla string, columna string, tipo_chequeo string, total bigint, affected bigint"
+    return finish(spark.createDataFrame(rows, types), batch_ts, step)
+
+
 # Checks that compare tables or read the check log ---------------------------
 def row_reconciliation(
     fact: DataFrame, source: DataFrame, table: str, batch_ts: datetime, step: str
@@ -372,6 +388,20 @@ def warehouse_rules() -> list[Rule]:
     )
 
 
+def fact_rules(fact: str, dimensions: Mapping[str, str]) -> list[Rule]:
+    """Checks on a loaded fact: its grain, and that each key is in its dimension
+    (``dimensions``: table by key name). They can be measured load by load."""
+    grain = Rule(FACT_GRAIN, fact, ("order_id", "product_id"))
+    columns = {
+        "customer_key": "customer", "product_key": "product", "employee_key": "employee",
+        "shipper_key": "shipper", "ship_geography_key": "geography", "order_date_key": "date",
+    }
+    return [grain] + [
+        Rule(DIMENSION_JOIN, fact, (column,), (dimensions[name],), f"{name}_key")
+        for column, name in columns.items()
+    ]
+
+
 def sales_rules(table: str = "dp01_ventas_geo_score") -> list[Rule]:
     """Checks on the published sales product."""
     return [

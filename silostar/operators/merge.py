@@ -8,32 +8,41 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silostar.operators.pruning import Ranges, within
 from silostar.operators.ranking import first_per_key
 
 
-def not_present(new: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def not_present(
+    new: DataFrame, target: DataFrame, keys: Sequence[str],
+    ranges: Mapping[str, Ranges] | None = None,
+) -> DataFrame:
     """Rows of ``new`` whose key is not in ``target``.
 
     The target is first cut down to the keys that occur in ``new``. With a batch small
     enough for Spark to broadcast, the large target is scanned for its key columns only
-    and is never shuffled.
+    and is never shuffled. ``ranges`` of key columns, as ``pruning.key_ranges`` gives them for
+    the batch, are pushed into that scan: of a target laid out by one of these columns only
+    the row groups are read that may hold a key of the batch.
     """
     keys = list(keys)
+    for column, held in (ranges or {}).items():
+        target = target.filter(within(column, held))
     wanted = new.select(*keys).distinct()
     known = target.select(*keys).join(wanted, keys, "left_semi").distinct()
     return new.join(known, keys, "left_anti")
 
 
 def insert_new(
-    new: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
+    new: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[Column] = (),
+    ranges: Mapping[str, Ranges] | None = None,
 ) -> DataFrame:
     """Rows to append so that existing keys win and each new key comes in once.
 
     ``order`` decides which of several new rows with one key is kept; without it the
-    smallest under all columns is.
+    smallest under all columns is. ``ranges`` are those of ``not_present``.
     """
     order = list(order) or [F.col(c) for c in new.columns if c not in keys]
-    fresh = not_present(new, target, keys)
+    fresh = not_present(new, target, keys, ranges)
     if not order:
         return fresh.dropDuplicates(list(keys))
     return first_per_key(fresh, keys, order)

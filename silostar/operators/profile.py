@@ -31,16 +31,24 @@ def _row(
     ]
 
 
+# Columns of one type that are counted in one pass.
+COLUMNS_PER_PASS = 4
+
+
 def _distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The exact number of distinct values of each column: a scan of that column alone,
-    combined per value before the shuffle, so that a frequent value crosses as one row per
-    task and no row is multiplied."""
-    parts = [
-        df.groupBy(c).agg(F.lit(1).alias("_n")).agg(F.count(c).alias("distinct")).select(
-            F.lit(i).alias("i"), "distinct"
-        )
-        for i, c in enumerate(columns)
-    ]
+    """The exact number of distinct values of each column. Columns of the same type go in a
+    pass together, as pairs of column and value that are combined before the shuffle, so that
+    a frequent value crosses as one row per task."""
+    by_type: dict[str, list[int]] = {}
+    for i, c in enumerate(columns):
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(i)
+    parts = []
+    for same in by_type.values():
+        for at in range(0, len(same), COLUMNS_PER_PASS):
+            some = same[at : at + COLUMNS_PER_PASS]
+            pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(columns[i]).alias("value")) for i in some])
+            counted = df.select(F.inline(pairs)).groupBy("i", "value").agg(F.lit(1).alias("n"))
+            parts.append(counted.groupBy("i").agg(F.count("value").alias("distinct")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -74,3 +82,59 @@ def profile(
     counted = found.unionByName(_distinct(df, columns), allowMissingColumns=True)
     rows_ = counted.groupBy("i").agg(*[F.max(c).alias(c) for c in (*names, "distinct")])
     return rows_.withColumn("valores_distintos", F.col("distinct")).select(*names)
+
+
+# Mergeable profiles ----------------------------------------------------------
+PARTIAL_TYPES = (
+    "columna string, total bigint, nulos bigint, dibujo binary, minimo string, maximo string"
+)
+# 2^12 registers: the estimate of distinct values has a relative standard error of about
+# 1.04 / sqrt(2^12), 1.6 %; up to a few hundred values it is exact.
+SKETCH_BITS = 12
+_SKETCHED = ("int", "bigint", "string", "binary")
+
+
+def partial_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What a part of a table adds to its profile: a row per column, from one scan without a
+    shuffle of rows. Distinct values are in a sketch, so that parts can be merged."""
+    aggregates, rows = [F.count("*").alias("total")], []
+    for i, c in enumerate(columns):
+        own = df.schema[c].dataType.simpleString()
+        value = F.col(c) if own in _SKETCHED else F.col(c).cast("string")
+        aggregates += [
+            F.count_if(F.col(c).isNull()).alias(f"n{i}"),
+            F.hll_sketch_agg(value, SKETCH_BITS).alias(f"d{i}"),
+            F.min(c).cast("string").alias(f"l{i}"), F.max(c).cast("string").alias(f"h{i}"),
+        ]
+        rows.append(F.struct(
+            F.lit(c).alias("columna"), F.col("total").alias("total"), F.col(f"n{i}").alias("nulos"),
+            F.col(f"d{i}").alias("dibujo"), F.col(f"l{i}").alias("minimo"), F.col(f"h{i}").alias("maximo"),
+        ))
+    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+
+
+def merged_profile(
+    partials: DataFrame, df: DataFrame, table: str, columns: Sequence[str], batch_ts: datetime, step: str,
+    table_row: bool = False, note: str | None = None,
+) -> DataFrame:
+    """The profile of a table from the partial profiles of its parts (of ``df`` only the
+    types are used). Counts, nulls, lowest and highest values are exact; distinct values are
+    estimated. Lowest and highest values were stored as text and compare in their own type."""
+    figures, rows = [], []
+    for i, c in enumerate(columns):
+        own = F.col("columna") == c
+        kind = df.schema[c].dataType
+        figures += [
+            F.coalesce(F.sum(F.when(own, F.col("total"))), F.lit(0)).alias(f"t{i}"),
+            F.coalesce(F.sum(F.when(own, F.col("nulos"))), F.lit(0)).alias(f"n{i}"),
+            F.hll_union_agg(F.when(own, F.col("dibujo"))).alias(f"d{i}"),
+            F.min(F.when(own, F.col("minimo").cast(kind))).alias(f"l{i}"),
+            F.max(F.when(own, F.col("maximo").cast(kind))).alias(f"h{i}"),
+        ]
+        distinct = F.coalesce(F.hll_sketch_estimate(f"d{i}"), F.lit(0))
+        values = [F.col(f"t{i}"), F.col(f"n{i}"), distinct, F.col(f"l{i}"), F.col(f"h{i}")]
+        rows.append(F.struct(*_row(table, c, step, batch_ts, *values, note)))
+    if table_row:
+        none = F.lit(None)
+        rows.append(F.struct(*_row(table, None, step, batch_ts, F.col("t0"), none, none, none, none, note)))
+    return partials.agg(*figures).select(F.inline(F.array(*rows)))

@@ -33,16 +33,20 @@ from silostar.operators.history import (
 from silostar.operators.keys import assign_keys
 from silostar.operators.merge import insert_new, scd1_update
 from silostar.operators.profile import profile
-from silostar.plans import dashboard, enrichment, metrics, publication, star
+from silostar.operators.pruning import key_ranges
+from silostar.plans import dashboard, enrichment, metrics, publication, star, upkeep
 from silostar.plans.staging import to_typed
+from silostar.plans.upkeep import FACT_PARTITIONS, by_order
 from silostar.session import batch_timestamp
-from silostar.sources.delimited import read_country_attributes, read_scores, read_source
+from silostar.sources.delimited import (
+    read_country_attributes, read_scores, read_source, record_end,
+)
 from silostar.sources.tables import Warehouse, append_numbered, event, log_events
 
 # Tables, event kinds and step names ---------------------------
 EVENTS, CHECKS, PROFILES = "dqm_eventos", "dqm_validaciones", "dqm_perfilado"
 CHECKED = "dqm_versiones_chequeadas"
-CHANGES, PENDING = "dwm_cambios", "dwm_metricas_pendientes"
+CHANGES = "dwm_cambios"
 DIM_DATE, DIM_GEOGRAPHY = "dwa_dim_date", "dwa_dim_geography"
 DIM_CUSTOMER, DIM_PRODUCT = "dwa_dim_customer", "dwa_dim_product"
 DIM_EMPLOYEE, DIM_SHIPPER = "dwa_dim_employee", "dwa_dim_shipper"
@@ -65,13 +69,11 @@ REQUIRED_CHECKS = 16
 
 SCORE_TYPES = "customer_key bigint, customer_id string, score int, fecha_carga timestamp_ntz"
 GRAIN = ("order_id", "product_id")
-FACT_PARTITIONS = ("order_year", "order_month")
 FACT_BUCKET_DIGITS = 4  # the fact is the largest table: more, smaller buckets to number
 # Parts of a history: a delta reads and writes the open versions, and appends closed ones.
 OPEN, CLOSED = "open", "closed"
 CHECKED_TYPES = "tabla string, nombre_script string, version bigint"
 CHANGE_TYPES = "fecha timestamp_ntz, entidad string, clave string, cambio string"
-PENDING_TYPES = "entidad string, clave bigint"
 # ----------------------------------------------------------------------------
 
 
@@ -106,6 +108,13 @@ class Recorder:
         self.note(table, start, rows, note)
         return rows
 
+    def replace(self, df: DataFrame, table: str, key: str) -> int:
+        """The whole table, with a part for each key value."""
+        start = batch_timestamp()
+        rows = self.wh.replace_where(df, table, key, whole=True)
+        self.note(table, start, rows)
+        return rows
+
     def close(self) -> dict[str, int]:
         log_events(self.wh, self.events, EVENTS)
         return self.rows
@@ -137,11 +146,11 @@ def read_checks(wh: Warehouse) -> DataFrame:
 def _log_checks(
     wh: Warehouse, checked: DataFrame, step: str = "", tables: Iterable[str] = ()
 ) -> None:
-    """Append check results, and the versions of the tables that they are about."""
+    """Append check results, keep the latest of each check, and note the versions of the
+    tables that they are about."""
     seen = [(t, step, wh.version(t)) for t in sorted(set(tables))]
-    order = ["nombre_script", "tabla", "columna", "tipo_chequeo"]
     with wh.transaction():
-        append_numbered(wh, checked, CHECKS, model.CHECK_SCHEMA, order)
+        upkeep.keep_checks(wh, checked)
         if seen:
             wh.append(wh.spark.createDataFrame(seen, CHECKED_TYPES).coalesce(1), CHECKED)
 
@@ -165,12 +174,14 @@ def acquire(
     wh: Warehouse, folder: str, sources: Iterable[model.Source], step: str = "acquire",
     multi_line: bool = False,
 ) -> dict[str, int]:
-    """Files to raw tables, all text. A file with line breaks inside of fields raises, unless
+    """Files to raw tables, all text. Files are split among tasks; in one whose records end in
+    CR LF, fields may hold LF. Any other file with line breaks inside of fields raises, unless
     ``multi_line`` is set; it is then read by one task."""
     record = Recorder(wh, step, RAW_LOAD)
 
     def load(source: model.Source) -> None:
-        rows = read_source(wh.spark, folder, source, multi_line)
+        ends = record_end(wh.spark, f"{folder}/{source.file}")
+        rows = read_source(wh.spark, folder, source, multi_line, ends)
         record.overwrite(rows, source.raw_table)
 
     _together(partial(load, s) for s in sources)
@@ -191,12 +202,16 @@ def profile_tables(
     wh: Warehouse, columns: Mapping[str, Sequence[str]], ts: datetime, step: str,
     table_row: bool = False, approx: bool = False,
 ) -> None:
-    """Profiles of the given columns of each table, in one append."""
-    parts = [
-        profile(wh.read(table), table, names, ts, step, table_row, approx)
-        for table, names in columns.items()
-    ]
-    rows = reduce(DataFrame.unionByName, parts)
+    """Profiles of the given columns of each table, in one append. Approximate ones scan
+    only the folders that were not profiled before."""
+    if approx:
+        rows = upkeep.refresh_profiles(wh, columns, ts, step, table_row)
+    else:
+        parts = [
+            profile(wh.read(table), table, names, ts, step, table_row)
+            for table, names in columns.items()
+        ]
+        rows = reduce(DataFrame.unionByName, parts)
     append_numbered(wh, rows, PROFILES, model.PROFILE_SCHEMA, ["tabla", "columna"])
 
 
@@ -216,7 +231,7 @@ def stage(
     """Raw tables to typed ones, if their checks allow it and the targets are empty."""
     sources = list(sources)
     raw = [s.raw_table for s in sources]
-    gates.gate_tables(read_checks(wh), raw, [check_step])
+    gates.gate_tables(upkeep.latest_checks(wh), raw, [check_step])
     _gate_versions(wh, raw, check_step)
     for source in sources:
         if wh.exists(source.staged_table):
@@ -250,7 +265,7 @@ def check_staged(
     names = {t for r in rules for t in (r.table, *r.parents)}
     tables = {t: wh.read(t) for t in names}
     checked = ck.run_checks(tables, rules, ts, step)
-    earlier_errors = ck.earlier_errors(read_checks(wh), earlier, ts, step)
+    earlier_errors = ck.earlier_errors(upkeep.latest_checks(wh), earlier, ts, step)
     _log_checks(wh, checked.unionByName(earlier_errors), step, names)
 
 
@@ -266,15 +281,16 @@ def _dims(wh: Warehouse) -> dict[str, DataFrame]:
 
 
 def _fact_layout(fact: DataFrame) -> DataFrame:
-    """Partition columns of the fact, and even files: rebalancing splits a month that is
-    much larger than the others and joins small ones."""
+    """Partition columns of the fact, a written table, and files of even size that each hold
+    a range of orders of a month: a scan for some orders skips the others."""
     day = F.col("order_date_key")
-    return fact.withColumns(
+    placed = fact.withColumns(
         {
             "order_year": F.floor(day / 10000).cast("int"),
             "order_month": F.floor(day / 100).cast("int") % 100,
         }
-    ).hint("rebalance", *FACT_PARTITIONS)
+    )
+    return by_order(placed, *FACT_PARTITIONS)
 
 
 @atomic
@@ -282,7 +298,7 @@ def load_warehouse(
     wh: Warehouse, ts: datetime, step: str = "load_warehouse", check_step: str = "check_staged"
 ) -> dict[str, int]:
     """First load: six dimensions, the fact, two histories and two metric tables."""
-    gates.gate_step(read_checks(wh), check_step, REQUIRED_CHECKS)
+    gates.gate_step(upkeep.latest_checks(wh), check_step, REQUIRED_CHECKS)
     _gate_versions(wh, {t for r in ck.warehouse_rules() for t in (r.table, *r.parents)}, check_step)
     targets = (
         DIM_DATE, DIM_GEOGRAPHY, DIM_CUSTOMER, DIM_PRODUCT, DIM_EMPLOYEE, DIM_SHIPPER, FACT,
@@ -318,10 +334,11 @@ def load_warehouse(
 
     _together(partial(load_dimension, *d) for d in dimensions)
 
-    fact = assign_keys(
+    fact = wh.intermediate(assign_keys(
         star.build_fact(lines, orders, _dims(wh), "strict"), GRAIN, "order_line_key",
         bucket_digits=FACT_BUCKET_DIGITS, dense=False,
-    )
+    ))
+    upkeep.drop_sales_state(wh)
     record.overwrite(_fact_layout(_stamped(fact, ts)), FACT, FACT_PARTITIONS, key="order_line_key")
 
     histories = [
@@ -343,10 +360,10 @@ def load_warehouse(
 
 
 def _write_metrics(wh: Warehouse, record: Recorder, ts: datetime) -> None:
-    fact, days = wh.read(FACT), wh.read(DIM_DATE)
-    customer = metrics.customer_sales_metrics(fact, wh.read(DIM_CUSTOMER), days)
+    customers, products = upkeep.rebuild_metric_totals(wh, wh.read(FACT), wh.read(DIM_DATE))
+    customer = metrics.customer_metrics(customers, wh.read(DIM_CUSTOMER))
     record.overwrite(_stamped(customer, ts, "fecha_calculo"), CUSTOMER_METRICS)
-    product = metrics.product_sales_metrics(fact, wh.read(DIM_PRODUCT), days)
+    product = metrics.product_metrics(products, wh.read(DIM_PRODUCT))
     record.overwrite(_stamped(product, ts, "fecha_calculo"), PRODUCT_METRICS)
 
 
@@ -354,30 +371,37 @@ def _write_metrics(wh: Warehouse, record: Recorder, ts: datetime) -> None:
 def refresh_metrics(
     wh: Warehouse, ts: datetime, step: str = "refresh_metrics", full: bool = False
 ) -> dict[str, int]:
-    """Metrics of the customers and products that got lines since the last refresh, or of
-    all. The fact is cut down to them before it is grouped; others keep their rows."""
+    """Metrics of the customers and products that got lines since the last refresh, from
+    their stored totals and partials: the fact is not read. Others keep their rows. ``full``
+    works out all of them, and the state, from the fact."""
     record = Recorder(wh, step, WAREHOUSE_UPDATE)
-    if full:
+    if full or not upkeep.has_metric_state(wh):
         _write_metrics(wh, record, ts)
-    else:
-        pending = wh.read(PENDING, StructType.fromDDL(PENDING_TYPES))
-        fact, days = wh.read(FACT), wh.read(DIM_DATE)
-        for name, table, dim, build in (
-            ("customer", CUSTOMER_METRICS, DIM_CUSTOMER, metrics.customer_sales_metrics),
-            ("product", PRODUCT_METRICS, DIM_PRODUCT, metrics.product_sales_metrics),
-        ):
-            key = f"{name}_key"
-            touched = wh.intermediate(
-                pending.filter(F.col("entidad") == name).select(F.col("clave").alias(key)).distinct()
-            )
-            fresh = build(fact.join(touched, key, "left_semi"), wh.read(dim), days)
-            kept = wh.read(table).join(touched, key, "left_anti")
-            merged = kept.unionByName(_stamped(fresh, ts, "fecha_calculo"))
-            record.overwrite(merged, table)
-    wh.drop(PENDING)
+        return record.close()
+    for table, key, updated, build in (
+        (CUSTOMER_METRICS, "customer_key", upkeep.refresh_customer_totals(wh, wh.read(DIM_DATE)),
+         lambda rows: metrics.customer_metrics(rows, wh.read(DIM_CUSTOMER))),
+        (PRODUCT_METRICS, "product_key", upkeep.refresh_product_totals(wh),
+         lambda rows: metrics.product_metrics(rows, wh.read(DIM_PRODUCT))),
+    ):
+        if updated is not None:
+            kept = wh.read(table).join(updated.select(key), key, "left_anti")
+            record.overwrite(kept.unionByName(_stamped(build(updated), ts, "fecha_calculo")), table)
     return record.close()
 
 
+@atomic
+def check_fact(wh: Warehouse, ts: datetime, step: str = "check_fact") -> None:
+    """Grain and foreign keys of the loaded fact. Only the loads that came since the last
+    check are measured, and again those whose parents no longer vouch for them."""
+    dimensions = {
+        "customer": DIM_CUSTOMER, "product": DIM_PRODUCT, "employee": DIM_EMPLOYEE,
+        "shipper": DIM_SHIPPER, "geography": DIM_GEOGRAPHY, "date": DIM_DATE,
+    }
+    rules = ck.fact_rules(FACT, dimensions)
+    _log_checks(wh, upkeep.check_new_folders(wh, rules, ts, step), step, [FACT])
+
+
 def profile_warehouse(
     wh: Warehouse, ts: datetime, step: str = "profile_warehouse", approx: bool = False
 ) -> None:
@@ -435,7 +459,7 @@ def update_warehouse(
     counts and the seconds it took; the keys are in the change log, by ``fecha``."""
     began = batch_timestamp()
     tables = sorted({f"tmp_{k.child}" for k in model.DELTA_KEYS})
-    gates.gate_tables(read_checks(wh), tables, [check_step])
+    gates.gate_tables(upkeep.latest_checks(wh), tables, [check_step])
     _gate_versions(wh, tables, check_step)
     customers, products, orders, lines = (wh.read(s.staged_table) for s in model.DELTA)
     record = Recorder(wh, step, WAREHOUSE_UPDATE)
@@ -472,10 +496,11 @@ def update_warehouse(
     dims, fact = _dims(wh), wh.read(FACT)
     headers = wh.intermediate(star.resolve_orders(orders, dims, "left"))
     built = star.build_fact(lines, orders, dims, "lenient", headers)
+    # Of the fact, which is laid out by order, the row groups of the delta's orders are read.
+    known = insert_new(built, fact, GRAIN, ranges={"order_id": key_ranges(headers, "order_id")})
     fresh = wh.intermediate(
         assign_keys(
-            insert_new(built, fact, GRAIN), GRAIN, "order_line_key", wh.highest(FACT),
-            bucket_digits=FACT_BUCKET_DIGITS, dense=False,
+            known, GRAIN, "order_line_key", wh.highest(FACT), bucket_digits=FACT_BUCKET_DIGITS, dense=False,
         )
     )
     dropped = star.dropped_lines(
@@ -486,11 +511,7 @@ def update_warehouse(
         _fact_layout(_stamped(fresh, ts)), FACT, FACT_PARTITIONS,
         note=f"lines without order, customer or product: {dropped}", key="order_line_key",
     )
-    sold = [
-        fresh.select(F.lit(name).alias("entidad"), F.col(f"{name}_key").alias("clave")).distinct()
-        for name in ("customer", "product")
-    ]
-    wh.append(sold[0].unionByName(sold[1]), PENDING)
+    upkeep.note_new_lines(wh, fresh, wh.read(DIM_DATE))
     record.close()
     summary["total_segundos"] = (batch_timestamp() - began).total_seconds()
     return summary
@@ -502,7 +523,8 @@ def integrate_countries(
     wh: Warehouse, folder: str, step: str = "integrate_countries", multi_line: bool = False
 ) -> dict[str, int]:
     record = Recorder(wh, step, ENRICHMENT)
-    raw = read_country_attributes(wh.spark, f"{folder}/{model.COUNTRY_FILE}", multi_line)
+    path = f"{folder}/{model.COUNTRY_FILE}"
+    raw = read_country_attributes(wh.spark, path, multi_line, record_end(wh.spark, path))
     wh.overwrite(raw, RAW_COUNTRIES)
     enriched = enrichment.enrich_geography(wh.read(DIM_GEOGRAPHY), wh.read(RAW_COUNTRIES))
     record.overwrite(enriched, DIM_GEOGRAPHY, key="geography_key")
@@ -515,7 +537,8 @@ def integrate_scores(
     multi_line: bool = False,
 ) -> dict[str, int]:
     record = Recorder(wh, step, ENRICHMENT)
-    rows, rejected = read_scores(wh.spark, f"{folder}/{model.SCORE_FILE}", multi_line)
+    path = f"{folder}/{model.SCORE_FILE}"
+    rows, rejected = read_scores(wh.spark, path, multi_line, record_end(wh.spark, path))
     wh.overwrite(rows, RAW_SCORES)
     refused = wh.overwrite(rejected, f"{RAW_SCORES}_rechazos")
     target = wh.read(SCORES) if wh.exists(SCORES) else wh.spark.createDataFrame([], SCORE_TYPES)
@@ -528,26 +551,28 @@ def integrate_scores(
 # Publication ----------------------------------------------------------------
 @atomic
 def publish(wh: Warehouse, ts: datetime, step: str = "publish") -> dict[str, int]:
-    """The sales product and the three quality summaries, in full."""
+    """The sales product and the three quality summaries. Sales are added up from their
+    state per month, place and customer; of the fact only months with new lines are read."""
     record = Recorder(wh, step, PUBLICATION)
     if wh.exists(SCORES):
         scores = wh.read(SCORES)
     else:
         scores = wh.spark.createDataFrame([], SCORE_TYPES)
-    sales = publication.dp01_sales_geo_score(
-        wh.read(FACT), wh.read(DIM_DATE), wh.read(DIM_GEOGRAPHY), wh.read(DIM_CUSTOMER), scores
+    state, divided = upkeep.refresh_sales_state(wh, wh.read(FACT), wh.read(DIM_DATE))
+    sales = publication.dp01_from_state(
+        state, divided, wh.read(DIM_GEOGRAPHY), wh.read(DIM_CUSTOMER), scores
     )
     profiles = wh.read(PROFILES, model.PROFILE_SCHEMA)
     products = [
         (sales, SALES),
-        (publication.dp02_checks(read_checks(wh)), CHECK_SUMMARY, ["nombre_script"]),
         (publication.dp02_events(wh.read(EVENTS, model.EVENT_SCHEMA)), EVENT_SUMMARY),
         (publication.dp02_profiles_or_default(profiles, timestamp(ts)), PROFILE_SUMMARY),
     ]
-    _together(
-        partial(record.overwrite, _stamped(df, ts, "fecha_publicacion"), *target)
-        for df, *target in products
-    )
+    summary = _stamped(publication.dp02_checks(read_checks(wh)), ts, "fecha_publicacion")
+    _together([
+        *(partial(record.overwrite, _stamped(df, ts, "fecha_publicacion"), table) for df, table in products),
+        lambda: record.replace(summary, CHECK_SUMMARY, "nombre_script"),
+    ])
     return record.close()
 
 
@@ -562,7 +587,8 @@ def check_published(wh: Warehouse, ts: datetime, step: str = "check_published")
         )
 
     sales = ck.run_checks({SALES: wh.read(SALES)}, ck.sales_rules(SALES), ts, step)
-    _log_checks(wh, sales.unionByName(ck.log_without_errors(read_checks(wh), ts, step, CHECKS)))
+    log = ck.log_without_errors(upkeep.latest_checks(wh), ts, step, CHECKS)
+    _log_checks(wh, sales.unionByName(log))
     refresh_summary()
     tables = {t: wh.read(t) for t in (CHECK_SUMMARY, EVENT_SUMMARY, PROFILE_SUMMARY)}
     _log_checks(wh, ck.tables_not_empty(tables, "dp02_dqm_*", ts, step))

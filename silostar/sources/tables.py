@@ -3,7 +3,8 @@
 A table is a list of folders that an entry of the snapshot log names. Every write, an append
 too, goes to a new folder; nothing that a reader may see is changed. One append to the log
 publishes all tables written in a transaction, so that a step that fails leaves every table
-as it was. One writing process at a time is assumed.
+as it was. One process may write at a time: if the log has grown since it was read, a write is
+refused.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self._latest: dict[str, Row] | None = None
+        self._log_files: set[str] = set()  # of the log as it was read
         self._staged: dict[str, Row] | None = None  # written in the open transaction
         self._made: list[str] = []  # folders of the open transaction
         self._scratch: list[str] = []  # intermediate tables of the open transaction
@@ -62,6 +64,7 @@ class Warehouse:
     def _snapshots(self) -> dict[str, Row]:
         """The last log entry of every table (as many rows as there are tables)."""
         if self._latest is None:
+            self._log_files = self._names("_snapshots")
             try:
                 log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_snapshots")
             except AnalysisException as error:
@@ -98,16 +101,17 @@ class Warehouse:
         return [f.path for f in found if part is None or f.part == part]
 
     def read(
-        self, table: str, schema: T.StructType | None = None, part: str | None = None
+        self, table: str, schema: T.StructType | None = None, part: str | None = None,
+        only: Sequence[str] | None = None,
     ) -> DataFrame:
-        """The current content, or one part of it. A table not yet written is empty if its
-        schema is given."""
+        """The current content, one part of it, or that of ``only`` some of its folders. A
+        table not yet written is empty if its schema is given."""
         if not self.exists(table):
             if schema is None:
                 raise LookupError(f"no such table: {table}")
             return self.spark.createDataFrame([], schema)
         kept = T.StructType.fromJson(json.loads(self._current(table).schema))
-        paths = self.folders(table, part)
+        paths = self.folders(table, part) if only is None else list(only)
         if not paths:
             return self.spark.createDataFrame([], kept)
         reader = self.spark.read.schema(T.StructType([*kept, T.StructField(_LOAD, T.StringType())]))
@@ -139,8 +143,11 @@ class Warehouse:
     def _publish(self, entries: list[Row]) -> None:
         if entries:
             known = self._snapshots()
+            if self._names("_snapshots") != self._log_files:
+                raise RuntimeError("the snapshot log has changed: another process writes here")
             log = self.spark.createDataFrame(entries, _LOG_SCHEMA).coalesce(1)
             log.write.mode("append").parquet(f"{self.root}/_snapshots")
+            self._log_files = self._names("_snapshots")
             self._latest = known | {entry.table: entry for entry in entries}
 
     def _enter(self, table: str, folders: list, schema: str | None, highest: int | None) -> None:
@@ -155,6 +162,14 @@ class Warehouse:
             else:
                 self._publish([entry])
 
+    def _names(self, path: str) -> set[str]:
+        """What a folder below the warehouse holds, without hidden files; none if it is not there."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = system.listStatus(folder) if system.exists(folder) else []
+        names = {status.getPath().getName() for status in found}
+        return {n for n in names if not n.startswith(("_", "."))}
+
     def _delete(self, path: str) -> None:
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(path)
@@ -183,14 +198,20 @@ class Warehouse:
         with self._lock:
             current = self._current(table)
             folders = [f for f in (current.folders if current else []) if keep(f)]
+            self._list(df, table, folders, [Row(part=part, path=path)], top)
+        return rows
+
+    def _list(self, df: DataFrame, table: str, kept: list, fresh: list, top: int | None) -> None:
+        """Enter a table that consists of the kept folders and those written from ``df``."""
+        with self._lock:
+            current = self._current(table)
             fields = {f.name: f for f in df.schema}
-            if folders:  # a column that an older folder lacks is null there
+            if kept:  # a column that an older folder lacks is null there
                 old = T.StructType.fromJson(json.loads(current.schema))
                 fields = {f.name: f for f in old} | {n: f for n, f in fields.items() if n not in old.names}
             highest = max((x for x in (top, current.highest if current else None) if x is not None), default=None)
             schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()]).json()
-            self._enter(table, [*folders, Row(part=part, path=path)], schema, highest)
-        return rows
+            self._enter(table, [*kept, *fresh], schema, highest)
 
     def overwrite(
         self, df: DataFrame, table: str, partition_by: Sequence[str] = (), part: str | None = None,
@@ -214,16 +235,33 @@ class Warehouse:
         if current is not None:
             self._enter(table, [], None, current.highest)
 
-    def replace_where(self, df: DataFrame, table: str, key: str) -> int:
-        """Replace the rows of the key values that occur in ``df`` and keep the others. The
-        whole table is written, so this is for small tables."""
-        if not self.exists(table):
-            return self.overwrite(df, table, [key])
+    def replace_where(self, df: DataFrame, table: str, key: str, whole: bool = False) -> int:
+        """Replace the rows of the key values that occur in ``df`` and keep the others (with
+        ``whole``: drop them).
+
+        Each key value is a part in a folder of its own, so only the values that come in are
+        written, in one job; the folders of others are neither read nor written. There should
+        be moderately many values, as with steps or months. A table that was written in
+        another way is brought into this form once.
+        """
         with self.transaction():
-            df = self.intermediate(df)
-            others = self.read(table).join(df.select(key).distinct(), key, "left_anti")
-            self.overwrite(others.unionByName(df, allowMissingColumns=True), table, [key])
-            return df.count()
+            current = self._current(table)
+            known = [] if whole or current is None else current.folders
+            if not all(f.part.startswith(f"{key}=") for f in known):
+                df = self.intermediate(df)
+                others = self.read(table).join(df.select(key).distinct(), key, "left_anti")
+                rows = df.count()
+                self._replace(others.unionByName(df, allowMissingColumns=True), table, key, [])
+                return rows
+            return self._replace(df, table, key, known)
+
+    def _replace(self, df: DataFrame, table: str, key: str, known: list[Row]) -> int:
+        path, rows, _ = self._write(df.hint("rebalance", key), table, [key], None)
+        found = self._names(path.removeprefix(f"{self.root}/"))
+        kept = [f for f in known if f.part not in found]
+        fresh = [Row(part=part, path=f"{path}/{part}") for part in sorted(found)]
+        self._list(df, table, kept, fresh, None)
+        return rows
 
     def intermediate(self, df: DataFrame) -> DataFrame:
         """``df`` as a table below the warehouse that lasts until the transaction ends. The
@@ -244,16 +282,18 @@ class Warehouse:
         if self._staged is not None:
             raise RuntimeError("a transaction is open")
         self.reload()
-        jvm, gone = self.spark._jvm, 0
+        gone = 0
         for table in self._snapshots():
-            listed = {path.rsplit("/", 1)[1] for path in self.folders(table)}
-            top = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
-            system = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            for status in system.listStatus(top) if system.exists(top) else []:
-                name = status.getPath().getName()
-                if name.startswith(f"{_LOAD}=") and name not in listed:
-                    system.delete(status.getPath(), True)
-                    gone += 1
+            top = f"{self.root}/{table}"
+            listed = {path.removeprefix(f"{top}/") for path in self.folders(table)}
+            loads = {name.split("/")[0] for name in listed}
+            for load in self._names(table):
+                # a load is a folder, or has a folder for each of the parts it wrote
+                parts = [load] if load not in loads else [f"{load}/{p}" for p in self._names(f"{table}/{load}")]
+                for name in parts:
+                    if name.startswith(f"{_LOAD}=") and name not in listed and load not in listed:
+                        self._delete(f"{top}/{name}")
+                        gone += 1
         self._delete(f"{self.root}/_intermediate")
         return gone
 

@@ -2,11 +2,14 @@ import pytest
 
 from silostar import model
 from silostar.sources.delimited import (
+    ANY,
+    CRLF,
     header_map,
     read_country_attributes,
     read_raw,
     read_scores,
     read_source,
+    record_end,
 )
 
 
@@ -125,3 +128,36 @@ def test_country_attributes_last_record_counts(spark, tmp_path, multi_line):
         ("Chile", "CL", "Santiago", "", "CLP", None, "-70.6"),
         ("Peru", "PE", "Lima", "Spanish", "PEN", "-9.1", "-75.0"),
     ]
+
+
+def test_crlf_files_with_breaks_in_fields_are_split(spark, tmp_path):
+    """The same rows as by one task, from several."""
+    lines = [f'{i},"a{i}\nb ""q"", c",NULL,,{"" if i % 3 else "x"}' for i in range(3000)]
+    lines[5], lines[7], lines[9] = "5", "7,NULL", '9,"x\ny",1,2,3,4,5'
+    path = write(tmp_path, "a.csv", "\r\n".join(["id,a,b,c,d", *lines]) + "\r\n")
+    assert record_end(spark, path) == CRLF
+    columns = ["id", "a", "b", "c", "d"]
+    whole = rows(read_raw(spark, path, columns, multi_line=True))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        split = read_raw(spark, path, columns, ends=CRLF)
+        assert split.rdd.getNumPartitions() > 3
+        assert rows(split) == whole and len(whole) == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert whole[0][1] == 'a0\nb "q", c' and whole[5] == ("5", None, None, None, None)
+
+
+def test_records_that_do_not_end_alike_are_reported(spark, tmp_path):
+    path = write(tmp_path, "a.csv", "a,b\r\n1,2\n3,4\r\n")
+    with pytest.raises(Exception, match="use multi_line"):
+        read_raw(spark, path, ["a", "b"], ends=record_end(spark, path)).collect()
+    path = write(tmp_path, "b.csv", 'a,b\r\n1,"x\r\ny"\r\n')
+    with pytest.raises(Exception, match="use multi_line"):
+        read_raw(spark, path, ["a", "b"], ends=record_end(spark, path)).collect()
+    assert rows(read_raw(spark, path, ["a", "b"], multi_line=True)) == [("1", "x\ny")]
+
+
+def test_record_end(spark, tmp_path):
+    assert record_end(spark, write(tmp_path, "a.csv", "a,b\n1,2\r\n")) is ANY
+    assert record_end(spark, write(tmp_path, "b.csv", "")) is ANY

@@ -82,7 +82,7 @@ def test_lines_do_not_move_for_a_small_batch_of_written_headers(spark, tmp_path,
         lines = plan(fact).splitlines()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "/lines" in x)
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "discount" in x)
     join = max(i for i, x in enumerate(lines[:scan]) if "Join" in x)
     assert "BroadcastHashJoin [order_id" in lines[join]
     assert not any("Exchange" in x for x in lines[join:scan])
