@@ -239,6 +239,12 @@ def run_checks(
     return finish(reduce(DataFrame.unionByName, parts), batch_ts, step)
 
 
+def results_of(parts: DataFrame, rule: Rule, batch_ts: datetime, step: str) -> DataFrame:
+    """The result row of a rule from the figures (total, affected) of parts of a table."""
+    whole = parts.agg(F.sum("total").alias("total"), F.sum("affected").alias("affected"))
+    return finish(_measured(whole, rule, F.col("total"), F.col("affected")), batch_ts, step)
+
+
 def measured_results(
     spark: SparkSession, figures: Sequence[tuple[Rule, int, int]], batch_ts: datetime, step: str
 ) -> DataFrame:

@@ -156,25 +156,13 @@ def customer_sales_metrics(
 
 # Products -------------------------------------------------------------------
 def product_orders(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Partial aggregates per product and order, of the lines whose day is known. Days are
-    joined to lines that are already grouped by day."""
-    dated = fact.groupBy(*PRODUCT_ORDER, "order_date_key").agg(
+    """Partial aggregates per product and order, of the lines whose day is known."""
+    dated = fact.join(_days(dim_date, "order_date_key"), "order_date_key")
+    return dated.groupBy(*PRODUCT_ORDER).agg(
         F.count("*").alias("lines"), F.sum("quantity").alias("quantity"),
         *[F.sum(c).alias(c) for c in _AMOUNTS], F.count("net_amount").alias("net_count"),
+        F.min("full_date").alias("first_order_date"), F.max("full_date").alias("last_order_date"),
     )
-    days = _days(dim_date, "order_date_key")
-    merged = (
-        dated.join(days, "order_date_key")
-        .groupBy(*PRODUCT_ORDER)
-        .agg(
-            *[F.sum(c).alias(c) for c in ("lines", "quantity", *_AMOUNTS, "net_count")],
-            F.min("full_date").alias("first_order_date"), F.max("full_date").alias("last_order_date"),
-        )
-    )
-    return _same_types(merged, dated.select(
-        *PRODUCT_ORDER, "lines", "quantity", *_AMOUNTS, "net_count",
-        F.lit(None).cast("date").alias("first_order_date"), F.lit(None).cast("date").alias("last_order_date"),
-    ))
 
 
 _PRODUCT_SUMS = {

@@ -16,7 +16,6 @@ from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,12 +64,9 @@ class Warehouse:
         """The last log entry of every table (as many rows as there are tables)."""
         if self._latest is None:
             self._log_files = self._names("_snapshots")
-            try:
-                log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_snapshots")
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
+            if not self._log_files:
                 return {}  # nothing written yet
+            log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_snapshots")
             entry = F.struct("version", *[c for c in log.columns if c != "version"])
             last = log.groupBy("table").agg(F.max_by(entry, "version").alias("entry"))
             self._latest = {row.table: row for row in last.select("entry.*").collect()}

@@ -317,7 +317,9 @@ class Inputs:
             F.col("l_quantity").cast("int").alias("quantity"),
             *line_amounts(gross, discount, null_discount=0),
         )
-        return lines.join(headers, "order_id")
+        # Lines are grouped by order afterwards: a merge join leaves them placed for it, where
+        # a broadcast of the headers would have the lines moved by the grouping.
+        return lines.hint("merge").join(headers, "order_id")
 
     @cached_property
     def order_days(self) -> DataFrame:

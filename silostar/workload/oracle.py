@@ -390,6 +390,7 @@ ORACLE["check_fact_grain"] = checks(
         "coalesce(sum(n - 1), 0)", "sum(n)",
     )
 )
+ORACLE["check_fact_grain_of_load"] = ORACLE["check_fact_grain"]
 ORACLE["check_measures"] = checks(
     measured(
         "tmp_order_details", "unit_price|quantity|discount", "DWA_MEDIDA_VALIDA", "details",
@@ -507,6 +508,19 @@ PROFILES = " UNION ALL ".join(
 )
 CTES["profiles"] = PROFILES
 ORACLE["profile_columns"] = sql(PROFILES)
+_MERGED = " UNION ALL ".join(
+    [_profile("tmp_orders", "headers", None)]
+    + [
+        _profile("tmp_orders", "headers", c)
+        for c in "order_id ship_city ship_postal_code employee_id ship_via ship_country".split()
+    ]
+)
+ORACLE["profile_merged"] = sql(
+    f"""SELECT * REPLACE (CASE WHEN columna = 'order_id' THEN NULL ELSE valores_distintos END
+                          AS valores_distintos),
+               CASE WHEN columna = 'order_id' THEN true END AS cercano
+        FROM ({_MERGED})"""
+)
 
 # Dimensions -----------------------------------------------------------------
 ORACLE["dim_date"] = sql(f"SELECT {date_row('full_date')} FROM all_days")
@@ -625,6 +639,19 @@ ORACLE["fact_insert_ignore"] = sql(
                                   ORDER BY line_number, gross_amount, quantity,
                                            d.discount NULLS FIRST) = 1"""
 )
+ORACLE["fact_insert_ranges"] = sql(
+    """SELECT order_id, product_id, line_number, CAST(unit_price AS DOUBLE) AS unit_price,
+              quantity, CAST(discount AS DOUBLE) AS discount,
+              CAST(gross_amount AS DOUBLE) AS gross_amount
+       FROM details d
+       WHERE line_number >= 3
+         AND NOT EXISTS (SELECT 1 FROM details x JOIN base_headers h ON x.order_id = h.order_id
+                         WHERE x.line_number < 3 AND x.order_id = d.order_id
+                           AND x.product_id = d.product_id)
+       QUALIFY row_number() OVER (PARTITION BY order_id, product_id
+                                  ORDER BY line_number, gross_amount, quantity,
+                                           d.discount NULLS FIRST) = 1"""
+)
 ORACLE["dropped_lines"] = sql(
     """SELECT order_id, product_id, line_number, quantity FROM details
        WHERE order_id NOT IN (SELECT order_id FROM delta_headers WHERE customer_id IN
@@ -724,6 +751,8 @@ ORACLE["product_sales_metrics"] = sql(
                min(day) AS first_order_date, max(day) AS last_order_date
         FROM sales JOIN part ON product_id = p_partkey GROUP BY product_id"""
 )
+ORACLE["customer_metrics_after_delta"] = ORACLE["customer_sales_metrics"]
+ORACLE["product_metrics_after_delta"] = ORACLE["product_sales_metrics"]
 
 # Enrichment -----------------------------------------------------------------
 ORACLE["enrich_geography"] = sql("SELECT * FROM geography")
@@ -765,6 +794,7 @@ CTES["dp01"] = """
     GROUP BY ALL"""
 # GROUP BY ALL groups by every column that is not an aggregate.
 ORACLE["dp01_sales_geo_score"] = sql("SELECT * EXCLUDE (exact_net) FROM dp01")
+ORACLE["dp01_from_state"] = ORACLE["dp01_sales_geo_score"]
 ORACLE["check_published"] = checks(
     measured("dp01_ventas_geo_score", None, "DP01_NO_VACIO", "dp01", _EMPTY, "1"),
     measured(

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from silostar.functions import columns as fx
 from silostar.functions import display
 from silostar.operators import checks as ck
-from silostar.operators import gates, history, keys, merge, ranking
-from silostar.operators.profile import profile
+from silostar.operators import gates, history, increments, keys, merge, pruning, ranking
+from silostar.operators.profile import merged_profile, partial_profile, profile
 from silostar.plans import dashboard, enrichment, metrics, publication, staging, star
 from silostar.workload.inputs import (
     BATCH_TS,
+    DELTA_FROM,
     LOAD_TS,
     Inputs,
 )
@@ -191,6 +192,18 @@ def check_fact_grain(i: Inputs) -> DataFrame:
     return _checked(i, {"tmp_order_details": i.order_details}, rule)
 
 
+@query
+def check_fact_grain_of_load(i: Inputs) -> DataFrame:
+    """The same check, of the lines before the delta as a whole and of the delta as a load:
+    its keys are counted, and looked up in the table within their ranges."""
+    rule = ck.Rule(ck.FACT_GRAIN, "tmp_order_details", ("order_id", "product_id"))
+    known = i.before_delta(i.order_headers).select("order_id")
+    earlier = i.order_details.join(known, "order_id", "left_semi")
+    load = i.order_details.join(known, "order_id", "left_anti")
+    parts = ck.measure_duplicates(earlier, rule).unionByName(increments.duplicates_of_load(load, earlier, rule))
+    return ck.results_of(parts, rule, BATCH_TS, STEP)
+
+
 @query
 def check_measures(i: Inputs) -> DataFrame:
     rule = ck.Rule(ck.VALID_MEASURE, "tmp_order_details", ("unit_price", "quantity", "discount"))
@@ -295,6 +308,27 @@ def profile_columns(i: Inputs) -> DataFrame:
     return _profiles(i)
 
 
+MERGED_PROFILE = ("order_id", "ship_city", "ship_postal_code", "employee_id", "ship_via", "ship_country")
+
+
+@query
+def profile_merged(i: Inputs) -> DataFrame:
+    """The profile of the orders from those of their parts before and with the delta. The
+    distinct orders are an estimate: shown is whether it is within a twentieth of the exact
+    number. Few distinct values are exact."""
+    names = list(MERGED_PROFILE)
+    parts = [partial_profile(part(i.orders), names) for part in (i.before_delta, i.in_delta)]
+    merged = merged_profile(
+        parts[0].unionByName(parts[1]), i.orders, "tmp_orders", names, BATCH_TS, "profile", table_row=True
+    )
+    exact = i.order_headers.select(F.count_distinct("order_id")).scalar()
+    found, estimated = F.col("valores_distintos"), F.col("columna") == "order_id"
+    return merged.withColumns({
+        "valores_distintos": F.when(estimated, F.lit(None)).otherwise(found),
+        "cercano": F.when(estimated, F.abs(found - exact) <= 0.05 * exact),
+    })
+
+
 # Dimensions -----------------------------------------------------------------
 @query
 def dim_date(i: Inputs) -> DataFrame:
@@ -417,6 +451,18 @@ def fact_insert_ignore(i: Inputs) -> DataFrame:
     return merge.insert_new(i.order_details, existing, grain, order)
 
 
+@query
+def fact_insert_ranges(i: Inputs) -> DataFrame:
+    """The same insert for the lines of the delta's orders, into a target that is read only
+    within the ranges of these orders."""
+    old = i.before_delta(i.order_headers).select("order_id")
+    existing = i.order_details.filter("line_number < 3").join(old, "order_id", "left_semi")
+    fresh = i.order_details.filter("line_number >= 3")
+    order = [F.col(c) for c in ("line_number", "gross_amount", "quantity", "discount")]
+    ranges = {"order_id": pruning.key_ranges(fresh, "order_id")}
+    return merge.insert_new(fresh, existing, ["order_id", "product_id"], order, ranges)
+
+
 @query
 def order_freight(i: Inputs) -> DataFrame:
     lines = i.order_details.select("order_id").join(
@@ -496,6 +542,34 @@ def product_sales_metrics(i: Inputs) -> DataFrame:
     return metrics.product_sales_metrics(i.sales, i.dim_product, i.order_days)
 
 
+def _loads(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """The lines as a first load and a delta that adds lines to known orders."""
+    late = F.col("quantity") % 3 == 0
+    return i.sales.filter(~late), i.sales.filter(late)
+
+
+@query
+def customer_metrics_after_delta(i: Inputs) -> DataFrame:
+    """The same metrics from the totals of a first load and the partials of a delta."""
+    first, delta = _loads(i)
+    known, touched = metrics.customer_orders(first), metrics.customer_orders(delta)
+    before = known.join(touched.select(*metrics.CUSTOMER_ORDER), list(metrics.CUSTOMER_ORDER), "left_semi")
+    totals = metrics.customer_totals(known, i.order_days)
+    updated, _ = metrics.updated_customer_totals(totals, touched, before, i.order_days)
+    others = totals.join(touched.select("customer_key").distinct(), "customer_key", "left_anti")
+    return metrics.customer_metrics(others.unionByName(updated), i.dim_customer)
+
+
+@query
+def product_metrics_after_delta(i: Inputs) -> DataFrame:
+    first, delta = _loads(i)
+    known, touched = (metrics.product_orders(part, i.order_days) for part in (first, delta))
+    totals = metrics.product_totals(known)
+    updated = metrics.updated_product_totals(totals, touched, known)
+    others = totals.join(touched.select("product_key").distinct(), "product_key", "left_anti")
+    return metrics.product_metrics(others.unionByName(updated), i.dim_product)
+
+
 # Enrichment -----------------------------------------------------------------
 @query
 def enrich_geography(i: Inputs) -> DataFrame:
@@ -530,6 +604,18 @@ def dp01_sales_geo_score(i: Inputs) -> DataFrame:
     return _dp01(i)
 
 
+@query
+def dp01_from_state(i: Inputs) -> DataFrame:
+    """The same product from the state of the months before the delta and of its months."""
+    fact, first = i.placed_sales, F.col("order_date_key") < int(DELTA_FROM.replace("-", ""))
+    parts = [fact.filter(first), fact.filter(~first)]
+    state, divided = (
+        build(parts[0], i.order_days).unionByName(build(parts[1], i.order_days))
+        for build in (publication.sales_state, publication.divided_orders)
+    )
+    return publication.dp01_from_state(state, divided, i.enriched_geography, i.dim_customer, i.customer_scores)
+
+
 @query
 def dp02_checks(i: Inputs) -> DataFrame:
     return publication.dp02_checks(i.check_log)
