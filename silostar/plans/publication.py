@@ -89,9 +89,9 @@ def dp01_sales_geo_score(
 
     Lines are first reduced to orders, and lookups run on orders. An order counts once in a
     cell, with its first customer there: others of the same order and cell follow as rows
-    without figures, so that they are counted as customers. This takes no shuffle beyond the
-    one by order that the lines come with. The orders are then combined per cell and
-    customer, and these per cell, each time before they move.
+    without figures, so that they are counted as customers. Where the lookups are broadcast,
+    orders still lie as the lines do, and this moves nothing. The orders are then combined per
+    cell and customer, and these per cell, each time before they move.
     """
     sums = [F.sum(c).alias(c) for c in _SUMS]
     in_cell = (
@@ -99,7 +99,7 @@ def dp01_sales_geo_score(
         .join(_months(dim_date), "order_date_key")
         .join(_places(dim_geography), "ship_geography_key")
         .join(_segments(dim_customer, scores), "customer_key")
-        .groupBy("order_id", *CELL)
+        .groupBy(*CELL, "order_id")
         .agg(*sums, F.collect_set("customer_key").alias("customers"))
     )
     placed = in_cell.select(*CELL, *_SUMS, F.posexplode("customers").alias("place", "customer_key"))
