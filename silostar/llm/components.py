@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silostar.llm.common import stored
+from silostar.llm.common import discard, stored
 
 
 def _large(links: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def _signature(links: DataFrame) -> tuple:
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, component (its smallest node), for every node that has a link.
+    """node, component (its smallest node), for every node that has a link: a stored table.
 
     Nodes are of any type with an order. Links may repeat, in either direction; links of a
     node to itself and links with a null are dropped.
@@ -53,11 +53,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     links = stored(links.select("u", "v").distinct(), "links")
     before = _signature(links)
     while before[0]:
-        links = stored(_small(_large(links)), "links")
+        earlier, links = links, stored(_small(_large(links)), "links")
+        discard(earlier)
         after = _signature(links)
         if after == before:
             break
         before = after
-    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+    found = links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+    found = stored(found, "components")
+    discard(links)
+    return found

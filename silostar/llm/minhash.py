@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silostar.llm.common import stored
+from silostar.llm.common import discard, key_text, stored, typed
 from silostar.llm.components import components
 
 COORDINATES = 256
@@ -37,6 +37,8 @@ BLOCK = 1024
 RUN = 512
 # Rounds that try the best partner of each text before all remaining pairs are tried.
 BEST_ROUNDS = 2
+# Nodes whose best partners a task keeps before it hands them on.
+HELD_NODES = 100_000
 _MAX_WORDS = 1_000_000
 
 
@@ -112,9 +114,8 @@ def read_sets(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 "sketch": [row.tobytes() for row in sketches(sets)],
             })
 
-    kind = df.schema[key].dataType.simpleString()
-    schema = f"key {kind}, n_shingles long, node binary, sketch binary"
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(run, schema)
+    schema = "key string, n_shingles long, node binary, sketch binary"
+    return typed(df.select(key_text(key), F.col(text).alias("text")).mapInPandas(run, schema), df, key)
 
 
 def bands(found: DataFrame) -> DataFrame:
@@ -276,20 +277,33 @@ def _agreement(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def best_pairs(open_: DataFrame, sketches_: DataFrame) -> DataFrame:
-    """a, b, agreement: of each node b of a group the two partners in other components whose
-    sketches agree most, if they agree enough."""
+    """a, b, agreement: of each node b the two partners in other components whose sketches
+    agree most, if they agree enough. A task hands on the best of all its groups, so that a
+    node in many buckets and blocks does not give a row for each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[bytes, list[tuple[float, bytes]]] = {}
+
+        def found() -> pd.DataFrame:
+            out = [(a, b, agreement) for b, partners in best.items() for agreement, a in partners]
+            best.clear()
+            return pd.DataFrame(out, columns=["a", "b", "agreement"])
+
         for group in runs(batches, ["bucket", "x", "y"]):
-            nodes, out = group["node"].to_numpy(), []
+            nodes = [bytes(n) for n in group["node"]]
             for at, agree in _agreement(group):
                 j = np.argsort(-agree, 1, kind="stable")[:, :2]
                 i = np.repeat(np.arange(len(agree)), j.shape[1])
                 j = j.ravel()
                 good = agree[i, j] >= LEAST_AGREEMENT
-                i, j = i[good], j[good]
-                out += zip(nodes[j], nodes[i + at], agree[i, j])
-            yield pd.DataFrame(out, columns=["a", "b", "agreement"])
+                for one, other in zip(i[good].tolist(), j[good].tolist()):
+                    partners = best.setdefault(nodes[one + at], [])
+                    entry = (float(agree[one, other]), nodes[other])
+                    if entry not in partners:
+                        best[nodes[one + at]] = sorted([*partners, entry], reverse=True)[:2]
+            if len(best) > HELD_NODES:
+                yield found()
+        yield found()
 
     return _grouped(open_.join(sketches_, "node")).mapInPandas(run, "a binary, b binary, agreement double")
 
@@ -375,9 +389,13 @@ def duplicates(
     sketches_ = named.groupBy("node").agg(F.first("sketch").alias("sketch")).join(
         members.select("node").distinct(), "node", "left_semi"
     )
+    # Every table of a round is written once and deleted after its last reader, so that plans
+    # stay short and the disk holds one round.
+    sketches_ = stored(sketches_, "bucket-sketches")
     pairs = stored(central_pairs(members), "pairs")
     links = stored(verify(pairs, sets, similarity), "links")
-    tried = _unordered(pairs)
+    tried = stored(_unordered(pairs), "tried")
+    discard(pairs)
     labels = components(links)
     for _ in range(BEST_ROUNDS):
         best = best_pairs(open_members(members, labels), sketches_)
@@ -385,23 +403,30 @@ def duplicates(
             tried, (F.least("a", "b") == F.col("low")) & (F.greatest("a", "b") == F.col("high")), "left_anti"
         ).groupBy("b").agg(F.max(F.struct("agreement", "a")).alias("best"))
         fresh = stored(fresh.select("best.a", "b"), "pairs")
-        tried = tried.unionByName(_unordered(fresh))
-        links = links.unionByName(stored(verify(fresh, sets, similarity), "links"))
+        more = stored(links.unionByName(verify(fresh, sets, similarity)), "links")
+        again = stored(tried.unionByName(_unordered(fresh)), "tried")
+        discard(fresh, links, tried, labels)
+        links, tried = more, again
         labels = components(links)
     last = stored(remaining_links(open_members(members, labels), sketches_, sets, similarity), "links")
+    discard(members, sets, sketches_, tried, labels)
     labels = components(links.unionByName(last))
+    discard(links, last)
 
     least = labels.join(classes, "node").groupBy("component").agg(F.min("key").alias("component_id"))
     groups = labels.join(least, "component").select("node", "component_id")
     classes = classes.join(groups, "node", "left").select(
         "node", F.coalesce("component_id", "key").alias("component_id")
     )
-    return (
+    result = stored(
         found.select("key", "n_shingles", "node")
         .join(classes, "node", "left")
         .select(
             F.col("key").alias(key), "n_shingles",
             F.when(F.col("key").isNotNull(), F.coalesce("component_id", "key")).alias("component_id"),
         )
-        .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
+        .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True))),
+        "near-duplicates",
     )
+    discard(found, labels)
+    return result
