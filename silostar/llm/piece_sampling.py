@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silostar.llm.common import key_text, typed
 from silostar.llm.minhash import mix
 
 # Power of the weights: 0 draws evenly among segmentations, large values the best one.
@@ -255,7 +256,8 @@ class Sampler:
 def encode(
     df: DataFrame, model: str, key: str = "doc_id", text: str = "text", alpha: float = ALPHA, seed: int = SEED,
 ) -> DataFrame:
-    """One row per row of ``df``: key, text, ids (little-endian unsigned 32-bit), n_pieces.
+    """One row per row of ``df``: key, text, ids (little-endian unsigned 32-bit), n_pieces,
+    lossless (the pieces give the text back).
 
     No shuffle. The text is taken as it is: no character is normalised and no space added.
     Null and empty texts have no pieces. Rows of equal key and text have the same ids; null
@@ -263,21 +265,23 @@ def encode(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sampler = Sampler(vocabulary(model, alpha))
+        words = vocabulary(model, alpha)
+        sampler, surface = Sampler(words), words.surface
         for batch in batches:
-            keys = [xxhash.xxh3_64_intdigest(str(k).encode(), seed) for k in batch["name"]]
-            ids = sampler([t or "" for t in batch["text"]], keys)
+            keys = [xxhash.xxh3_64_intdigest(str(k).encode(), seed) for k in batch["key"]]
+            texts = [t or "" for t in batch["text"]]
+            ids = sampler(texts, keys)
+            again = [b"".join(map(surface.__getitem__, x.tolist())) == t.encode() for x, t in zip(ids, texts)]
             yield pd.DataFrame({
                 "key": batch["key"], "text": batch["text"],
                 "ids": [x.astype("<u4").tobytes() for x in ids], "n_pieces": [len(x) for x in ids],
+                "lossless": again,
             })
 
-    kind = df.schema[key].dataType.simpleString()
-    return (
-        df.select(F.col(key).alias("key"), F.col(key).cast("string").alias("name"), F.col(text).alias("text"))
-        .mapInPandas(run, f"key {kind}, text string, ids binary, n_pieces long")
-        .withColumnRenamed("key", key)
+    pieces = df.select(key_text(key), F.col(text).alias("text")).mapInPandas(
+        run, "key string, text string, ids binary, n_pieces long, lossless boolean"
     )
+    return typed(pieces, df, key).withColumnRenamed("key", key)
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
