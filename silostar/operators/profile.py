@@ -81,7 +81,8 @@ def profile(
     names = [c for c in found.columns if c != "i"]
     counted = found.unionByName(_distinct(df, columns), allowMissingColumns=True)
     rows_ = counted.groupBy("i").agg(*[F.max(c).alias(c) for c in (*names, "distinct")])
-    return rows_.withColumn("valores_distintos", F.col("distinct")).select(*names)
+    distinct = F.when(F.col("i") >= 0, F.coalesce("distinct", F.lit(0)))  # no row, no value
+    return rows_.withColumn("valores_distintos", distinct).select(*names)
 
 
 # Mergeable profiles ----------------------------------------------------------
