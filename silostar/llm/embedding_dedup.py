@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silostar.llm.common import stored
+from silostar.llm.common import discard, key_text, stored, typed
 from silostar.llm.components import components
 from silostar.llm.minhash import runs
 
@@ -67,12 +67,11 @@ def read_vectors(df: DataFrame, key: str, vector: str, label: str, trees: int, s
             frame["key"] = batch["key"].array
             yield frame
 
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(
-        F.col(key).alias("key"), F.col(vector).alias("vector"), F.col(label).cast("string").alias("label")
-    ).mapInPandas(
-        run, f"key {kind}, node binary, root long, data binary, projections array<array<float>>, near double"
+    rows = df.select(key_text(key), F.col(vector).alias("vector"), F.col(label).cast("string").alias("label"))
+    found = rows.mapInPandas(
+        run, "key string, node binary, root long, data binary, projections array<array<float>>, near double"
     )
+    return typed(found, df, key)
 
 
 def leaves(classes: DataFrame, trees: int, leaf: int) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silostar.llm import tokens
+from silostar.llm.common import key_text, typed
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
@@ -163,19 +164,17 @@ def pack(
 
         for batch in batches:
             ids = encode([x or "" for x in batch["text"]])
-            for name, found in zip(batch["key"].astype(object), ids):
+            for name, found in zip(batch["key"], ids):
                 found += end
-                held[number] = (None if pd.isna(name) else name, found)
+                held[number] = (name, found)
                 packer.add(number, len(found) // 4)
                 number += 1
                 if packer.ready():
                     yield rows(False)
         yield rows(True)
 
-    kind = df.schema[key].dataType.simpleString()
-    return (
-        df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        .mapInPandas(run, f"key {kind}, start long, length long, ids binary, doc_tokens long, "
-                     "sequence_id long, offset long, sequence_length long, step_group long")
-        .withColumnRenamed("key", key)
+    pieces = df.select(key_text(key), F.col(text).alias("text")).mapInPandas(
+        run, "key string, start long, length long, ids binary, doc_tokens long, "
+        "sequence_id long, offset long, sequence_length long, step_group long"
     )
+    return typed(pieces, df, key).withColumnRenamed("key", key)

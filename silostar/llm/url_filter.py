@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silostar.llm.common import key_text, typed
+
 # A list whose trie is larger than this is refused before it is broadcast.
 MAX_TRIE_BYTES = 256 << 20
 RULES = (
@@ -102,9 +104,6 @@ def judge_urls(
             out.insert(0, "key", batch["key"].array)
             yield out
 
-    kind = df.schema[key].dataType.simpleString()
-    return (
-        df.select(F.col(key).alias("key"), F.col(url).alias("url"))
-        .mapInPandas(run, f"key {kind}, host string, path string, rule string, verdict string")
-        .withColumnRenamed("key", key)
-    )
+    rows = df.select(key_text(key), F.col(url).alias("url"))
+    judged = rows.mapInPandas(run, "key string, host string, path string, rule string, verdict string")
+    return typed(judged, df, key).withColumnRenamed("key", key)
