@@ -4,7 +4,8 @@ Four kinds of evidence are multiplied: the likelihood of the text's character tr
 language declared in the markup, the suffix of the address, and a prior of the host. What a
 declaration, a suffix and a host say is learnt from the corpus itself, by grouped counts of
 the languages that the texts alone suggest; hosts are smoothed by their domain, domains by
-the corpus.
+the corpus. A text's own guess is taken off these counts where they speak about it, so that
+it does not count twice.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silostar.llm.common import stored
+from silostar.llm.common import key_text, stored, typed
 from silostar.llm.minhash import mix
 
 BITS = 14
 # Labelled texts that the likelihoods are learnt from at most, and languages at most.
 SAMPLE = 4000
 MOST_LANGUAGES = 64
-FIT_TASKS = 8
+FIT_TASKS = 8  # each counts whole languages
 # Pseudo-counts by which a host leans on its domain, a domain and a declaration on the corpus.
 STRENGTH = 5.0
 # Trigrams overlap: a text counts as half as many, and a long one as this many.
@@ -49,40 +50,42 @@ def trigrams(text: str | None) -> tuple[np.ndarray, int]:
     return (mix(keys) & np.uint64((1 << BITS) - 1)).astype(np.int64), int(letter.sum())
 
 
-def fit(df: DataFrame, key: str, text: str, language: str, sample: int = SAMPLE) -> Model:
+def fit(
+    df: DataFrame, key: str, text: str, language: str, sample: int = SAMPLE,
+    most_languages: int = MOST_LANGUAGES,
+) -> Model:
     """Smoothed trigram probabilities of each language, from at most ``sample`` labelled
-    rows (those whose keys have the lowest hashes; null languages and keys are left out) of
-    the at most MOST_LANGUAGES most frequent languages among them."""
+    rows: those whose keys have the lowest hashes; null languages and keys are left out.
+
+    If the sample names more than ``most_languages``, the most frequent ones are learnt (the
+    first by name of equally frequent ones); texts in another language then get the likest of
+    these. The driver gets a table of counts for each.
+    """
     chosen = (
         df.select(F.col(key).alias("key"), F.col(language).alias("language"))
         .filter(F.col("key").isNotNull() & F.col("language").isNotNull())
         .groupBy("key").agg(F.min("language").alias("language"))
         .orderBy(F.xxhash64("key"), "key").limit(sample)
     )
+    learnt = (
+        chosen.groupBy("language").count().orderBy(F.desc("count"), "language").limit(most_languages)
+    )
+    chosen = chosen.join(learnt.select("language"), "language", "left_semi")
     texts = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    # The sample is brought together first: each task hands the driver a table of counts per
-    # language, and there must not be more of them for larger inputs.
-    rows = texts.join(F.broadcast(chosen), "key").select("language", "text").repartition(FIT_TASKS)
+    # A language is counted by one task, so the driver gets a table of counts for each.
+    rows = texts.join(F.broadcast(chosen), "key").select("language", "text").repartition(FIT_TASKS, "language")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: dict[str, list] = {}
+        totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for name, t in zip(batch["language"], batch["text"]):
-                held = totals.setdefault(name, [0, np.zeros(1 << BITS)])
-                held[0] += 1
-                held[1] += np.bincount(trigrams(t)[0], minlength=1 << BITS)
-        yield pd.DataFrame(
-            [(name, n, c.tobytes()) for name, (n, c) in totals.items()], columns=["language", "n", "counts"]
-        )
-
-    found = rows.mapInPandas(run, "language string, n long, counts binary").toArrow().to_pylist()
-    texts_of: dict[str, int] = {}
-    counts: dict[str, np.ndarray] = {}
-    for row in found:
-        texts_of[row["language"]] = texts_of.get(row["language"], 0) + row["n"]
-        counts[row["language"]] = counts.get(row["language"], 0) + np.frombuffer(row["counts"])
-    names = sorted(texts_of, key=lambda name: (-texts_of[name], name))[:MOST_LANGUAGES]
-    names = tuple(sorted(names)) or ("und",)
+                held = totals.setdefault(name, np.zeros(1 << BITS))
+                held += np.bincount(trigrams(t)[0], minlength=1 << BITS)
+        yield pd.DataFrame([(name, c.tobytes()) for name, c in totals.items()], columns=["language", "counts"])
+
+    found = rows.mapInPandas(run, "language string, counts binary").toArrow().to_pylist()
+    counts = {row["language"]: np.frombuffer(row["counts"]) for row in found}
+    names = tuple(sorted(counts)) or ("und",)
     table = np.array([counts.get(name, np.zeros(1 << BITS)) for name in names]) + 0.05
     return Model(names, np.log(table / table.sum(1, keepdims=True)))
 
@@ -104,13 +107,15 @@ def declared_in(html: Column) -> Column:
 
 
 def text_of(html: Column) -> Column:
-    """Markup, scripts, styles and comments taken out."""
-    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    """Markup, scripts, styles and comments taken out; those that do not end go to the end."""
+    return F.regexp_replace(
+        html, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^>]*>", " "
+    )
 
 
 def identify(
     df: DataFrame, model: Model, key: str, text: Column, declared: Column, host: Column, suffix: Column,
-    accept_from: float = ACCEPT_FROM, strength: float = STRENGTH,
+    accept_from: float = ACCEPT_FROM, strength: float = STRENGTH, most_trigrams: int = MOST_TRIGRAMS,
 ) -> DataFrame:
     """One row per row of ``df``: key, host, declared, text_language, language, posterior,
     accepted.
@@ -118,7 +123,8 @@ def identify(
     A null or empty declaration or suffix says nothing; rows without a host share an unnamed
     one. A text without letters has no language and is not accepted, and neither is one whose
     best language stays below ``accept_from``. Ties go to the first language by name. Null
-    keys and repeated rows pass through.
+    keys and repeated rows pass through. A text's trigrams count by their mean, and a long
+    text as ``most_trigrams`` of them, so that its length does not outweigh all else.
     """
     names, n = model.languages, len(model.languages)
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -134,52 +140,50 @@ def identify(
                     best.append(-1)
                     continue
                 mean = weights[:, buckets].mean(1)
-                scores.append((mean * min(len(buckets), MOST_TRIGRAMS) * TRIGRAM_WEIGHT).tolist())
+                scores.append((mean * min(len(buckets), most_trigrams) * TRIGRAM_WEIGHT).tolist())
                 best.append(int(mean.argmax()))
             yield batch.assign(scores=scores, best=best)
 
-    kind = df.schema[key].dataType.simpleString()
     blank = lambda c: F.coalesce(c, F.lit(""))
     rows = df.select(
-        F.col(key).alias("key"), text.alias("text"), blank(declared).alias("declared"),
+        key_text(key), text.alias("text"), blank(declared).alias("declared"),
         blank(host).alias("host"), blank(suffix).alias("suffix"),
     )
-    scored = stored(
+    scored = typed(
         rows.mapInPandas(
-            run, f"key {kind}, declared string, host string, suffix string, scores array<double>, best int"
+            run, "key string, declared string, host string, suffix string, scores array<double>, best int"
         ).withColumn("domain", F.regexp_extract("host", r"([^.]+\.)?[^.]+$", 0)),
-        "language-scores",
+        df, key,
     )
+    scored = stored(scored, "language-scores")
     heard = scored.filter(F.col("best") >= 0)
     counts = F.array(*(F.count_if(F.col("best") == i).cast("double") for i in range(n)))
     total = np.array(heard.agg(counts.alias("c")).first()["c"]) + 1.0
     everywhere = F.array(*(F.lit(float(x)) for x in total / total.sum()))
-
-    def smoothed(own: Column, parent: Column) -> Column:
-        size = F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(own, parent, lambda c, p: (c + strength * p) / (size + strength))
+    flat = F.array(*(F.lit(0.0) for _ in range(n)))
+    own = F.array(*((F.col("best") == i).cast("double") for i in range(n)))
 
     def by(column: str) -> DataFrame:
-        return heard.groupBy(column).agg(counts.alias("counts"))
+        return heard.groupBy(column).agg(counts.alias(f"by_{column}"))
 
-    domains = by("domain").select("domain", smoothed(F.col("counts"), everywhere).alias("parent"))
-    hosts = (
-        heard.groupBy("host", "domain").agg(counts.alias("counts"))
-        .join(domains, "domain")
-        .select("host", F.transform(smoothed(F.col("counts"), F.col("parent")), lambda p: F.log(p)).alias("by_host"))
-    )
+    def smoothed(column: str, parent: Column) -> Column:
+        """Shares of the languages among the other rows with this value, leaning on ``parent``."""
+        others = F.zip_with(F.coalesce(f"by_{column}", flat), own, lambda c, o: F.greatest(c - o, F.lit(0.0)))
+        size = F.aggregate(others, F.lit(0.0), lambda a, x: a + x)
+        return F.zip_with(others, parent, lambda c, p: (c + strength * p) / (size + strength))
 
-    def says(column: str) -> DataFrame:
+    def says(column: str) -> Column:
         """How much more likely the value is under each language than in the corpus."""
-        ratio = F.zip_with(smoothed(F.col("counts"), everywhere), everywhere, lambda p, q: F.log(p / q))
-        return by(column).filter(F.col(column) != "").select(column, ratio.alias(f"by_{column}"))
+        ratio = F.zip_with(smoothed(column, everywhere), everywhere, lambda p, q: F.log(p / q))
+        return F.when(F.col(column) == "", flat).otherwise(ratio)
 
-    flat = F.array(*(F.lit(0.0) for _ in range(n)))
-    add = lambda x, y: F.zip_with(x, F.coalesce(y, flat), lambda a, b: a + b)
+    add = lambda x, y: F.zip_with(x, y, lambda a, b: a + b)
+    prior = F.transform(smoothed("host", F.col("by_parent")), lambda p: F.log(p))
     fused = (
-        scored.join(hosts, "host", "left").join(says("declared"), "declared", "left")
-        .join(says("suffix"), "suffix", "left")
-        .withColumn("sums", add(add(add(F.col("scores"), F.col("by_host")), F.col("by_declared")), F.col("by_suffix")))
+        scored.join(by("host"), "host", "left").join(by("domain"), "domain", "left")
+        .join(by("declared"), "declared", "left").join(by("suffix"), "suffix", "left")
+        .withColumn("by_parent", smoothed("domain", everywhere))
+        .withColumn("sums", add(add(add(F.col("scores"), prior), says("declared")), says("suffix")))
         .withColumn("most", F.array_max("sums"))
     )
     spelled = F.array(*(F.lit(name) for name in names))
