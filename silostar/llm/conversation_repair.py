@@ -22,7 +22,8 @@ all rows needs sorted spills, not memory. A SHA-256 is sequential, so its texts
 
 Rows: turns are ordered by number, nulls first, then by role and by the SHA-256 of the text;
 repeated rows stay and count as duplicates. Null ids are one conversation of their own. A null
-role or text is one space, which is no role and a blank text. Other columns are not read.
+role or text is one space, which is no role and a blank text; an empty role has no initial, and
+such a row cannot be kept as it is. Other columns are not read.
 """
 
 from __future__ import annotations

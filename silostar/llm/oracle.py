@@ -31,6 +31,29 @@ def _crc32(text: str) -> str:
     )
 
 
+# Secrets: kind, rank, pattern, group with the value, fewest characters of it.
+_WORDS = "|".join(
+    "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+    for word in ("password", "passwd", "secret", "token", "api_?key")
+)
+_KINDS = (
+    ("assign", 0, rf"""({_WORDS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", 1, "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", 2, "[0-9a-f]+", 0, 24),
+    # Runs that a key may start; of each, what comes before a sign of equality.
+    ("generic", 3, "[A-Za-z0-9+/_=-]+", 0, 1),
+)
+_MATCHES = " UNION ALL ".join(
+    f"""SELECT id, '{kind}' AS kind, {rank} AS rank, {least} AS least,
+               unnest(regexp_split_to_array(t, '{pattern}')) AS gap,
+               unnest(regexp_extract_all(t, '{pattern}', 0)) AS found,
+               unnest(regexp_extract_all(t, '{pattern}', {group})) AS value,
+               unnest(range(1, length(t) + 2)) AS i
+        FROM texts WHERE regexp_matches(t, '{pattern}')"""
+    for kind, rank, pattern, group, least in _KINDS
+)
+_LISTED = "array_to_string(list(kind || ':' || a || ':' || b ORDER BY a, rank) FILTER ({}), ',')"
+
 # Repair: an edit is (initial, cost, next role state). States: none, system, user, assistant.
 _STEPS = """
 moves(q, letter, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
@@ -128,6 +151,37 @@ SELECT page_id, host, path, rule,
             WHEN rule IS NOT NULL THEN 'allow'
             WHEN host = '' THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
+""",
+    "op10_secret_scan": f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner,
+         concat_ws('/', source, lang) AS repository FROM documents),
+matches AS ({_MATCHES}),
+placed AS (
+  SELECT id, kind, rank, least, found, value,
+         (sum(length(gap)) OVER w + sum(length(coalesce(found, ''))) OVER w - length(coalesce(found, '')))::BIGINT AS a
+  FROM matches WHERE gap IS NOT NULL WINDOW w AS (PARTITION BY id, rank ORDER BY i)),
+cut AS (
+  SELECT id, kind, rank, least, a, CASE kind WHEN 'generic' THEN regexp_extract(found, '^[^=]*') ELSE found END AS found,
+         CASE kind WHEN 'generic' THEN regexp_extract(found, '^[^=]*') ELSE value END AS value
+  FROM placed WHERE found IS NOT NULL),
+spans AS (
+  SELECT id, kind, rank, a, a + length(found) AS b, sha256(value) AS hash FROM cut
+  WHERE CASE kind WHEN 'generic' THEN length(value) >= 20 AND regexp_matches(value, '[0-9]')
+                                      AND regexp_matches(value, '[A-Za-z]')
+             ELSE length(value) >= least END),
+apart AS (
+  SELECT * FROM spans s WHERE rank < 3 OR NOT EXISTS (
+    SELECT 1 FROM spans o WHERE o.id = s.id AND o.rank < 3 AND o.a < s.b AND s.a < o.b)),
+owners AS (
+  SELECT hash, count(DISTINCT owner) AS n FROM apart JOIN texts USING (id) GROUP BY hash),
+judged AS (SELECT apart.*, n FROM apart JOIN owners USING (hash) WHERE rank < 3 OR n = 1)
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce({_LISTED.format("rank < 3")}, '')) AS base_sha256,
+       coalesce({_LISTED.format("kind IS NOT NULL")}, '') AS spans,
+       count(*) FILTER (n < 3) AS n_live, count(*) FILTER (n >= 3) AS n_copied
+FROM texts LEFT JOIN judged USING (id) GROUP BY id, doc_id
 """,
     "op11_conversation_repair": rf"""
 WITH RECURSIVE named AS (

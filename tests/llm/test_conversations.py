@@ -47,7 +47,7 @@ def cheapest(rows):
             go(i + 1, roles, cost + 2, audit + "D", lines, 0)
             if fault in (None, "truncated"):
                 more = 5 if fault else 0
-                go(i + 1, roles + role[:1], cost + more, audit + "K", [*lines, f"{role}:{text}"], 0)
+                go(i + 1, roles + (role[:1] or "?"), cost + more, audit + "K", [*lines, f"{role}:{text}"], 0)
                 for other in ("user", "assistant"):
                     go(i + 1, roles + other[0], cost + 1 + more, audit + "R", [*lines, f"{other}:{text}"], 0)
 
@@ -142,7 +142,6 @@ def test_a_conversation_with_a_third_of_all_rows(frame):
     rows += [(k, 0, "user", "Hi.") for k in range(10, 1000)]
     found = result(repair.repair(frame(SCHEMA, *rows).repartition(5)))
     assert len(found) == 991
-    codes, lines = [], []
     assert len([e for e in found[1][6] if e != "I"]) == 3000 - sum(
         zlib.crc32(f"1:{t}".encode()) % 20 == 0 for t in range(3000)
     ) + sum(zlib.crc32(f"1:{t}".encode()) % 20 == 3 for t in range(3000))
