@@ -14,9 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silostar.llm.common import key_text, typed
 from silostar.llm.minhash import WordHashes, mix
 
 BITS = 13  # of each table of weights
@@ -142,7 +144,8 @@ def sample_features(df: DataFrame, labels: DataFrame, key: str, text: str, label
 
     The keys with the lowest hashes are taken, so that the choice depends on no order of
     rows. Null labels, other labels than 0 and 1 and null keys are left out; a key that is
-    labelled more than once counts as good only if all its labels do.
+    labelled more than once counts as good only if all its labels do, and of several texts
+    of a key the least is taken.
     """
     chosen = (
         labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
@@ -151,7 +154,10 @@ def sample_features(df: DataFrame, labels: DataFrame, key: str, text: str, label
         .orderBy(F.xxhash64("key"), "key").limit(sample)
     )
     texts = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    joined = texts.join(F.broadcast(chosen), "key").select("key", "text", "label")
+    joined = (
+        texts.join(F.broadcast(chosen), "key").groupBy("key", "label").agg(F.min("text").alias("text"))
+        .select(key_text("key"), "text", "label")
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -167,20 +173,36 @@ def sample_features(df: DataFrame, labels: DataFrame, key: str, text: str, label
                 out.append((name, columns, shares, y))
             yield pd.DataFrame(out, columns=["key", "columns", "shares", "label"])
 
-    kind = df.schema[key].dataType.simpleString()
-    return joined.mapInPandas(run, f"key {kind}, columns array<int>, shares array<float>, label int")
+    features = joined.mapInPandas(run, "key string, columns array<int>, shares array<float>, label int")
+    return typed(features, df, key)
 
 
 def fit(
     df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
     sample: int = SAMPLE,
 ) -> Model:
-    """The driver holds the sample's features: at most ``sample`` rows of 2^14 shares."""
-    found = sample_features(df, labels, key, text, label, sample).limit(sample).toArrow()
-    found = found.sort_by([("key", "ascending")]).combine_chunks()
-    lengths = found["columns"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
-    flat = lambda name: found[name].combine_chunks().flatten().to_numpy()
-    return train(found["label"].to_numpy(), lengths, flat("columns"), flat("shares"))
+    """One task holds the sample's features, at most ``sample`` rows of 2^14 shares; the
+    driver gets the weights."""
+    names = ("words", "chars", "bias", "slope", "shift")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(batches) if (batches := list(batches)) else None
+        if found is None or not found.num_rows:
+            model = train(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        else:
+            found = found.sort_by([("key", "ascending")]).combine_chunks()
+            lengths = found["columns"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+            flat = lambda name: found[name].combine_chunks().flatten().to_numpy()
+            model = train(found["label"].to_numpy(), lengths, flat("columns"), flat("shares"))
+        values = [model.words.tobytes(), model.chars.tobytes(), model.bias, model.slope, model.shift]
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=list(names))
+
+    features = sample_features(df, labels, key, text, label, sample).repartition(1)
+    # An empty sample has no task with rows; then there is no row either.
+    row = features.mapInArrow(run, "words binary, chars binary, bias double, slope double, shift double").first()
+    if row is None:
+        return train(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    return Model(np.frombuffer(row.words), np.frombuffer(row.chars), row.bias, row.slope, row.shift)
 
 
 def judge(
@@ -207,29 +229,27 @@ def judge(
             out.insert(0, "key", batch["key"].array)
             yield out
 
-    kind = df.schema[key].dataType.simpleString()
-    return (
-        df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        .mapInPandas(run, f"key {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-                     "n_repeat_words long, base_failed boolean, probability double, kept boolean")
-        .withColumnRenamed("key", key)
+    judged = df.select(key_text(key), F.col(text).alias("text")).mapInPandas(
+        run, "key string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+        "n_repeat_words long, base_failed boolean, probability double, kept boolean"
     )
+    return typed(judged, df, key).withColumnRenamed("key", key)
 
 
 def filter_rows(
     df: DataFrame, model: Model, text: str = "text", keep_from: float = KEEP_FROM
 ) -> DataFrame:
-    """The rows of ``df`` that ``judge`` keeps, with all their columns. No shuffle."""
+    """The rows of ``df`` that ``judge`` keeps, with all their columns as they are. No shuffle."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, fitted = WordHashes(), shared.value
         for batch in batches:
             keep = []
-            for text_ in batch[text]:
+            for text_ in batch.column(batch.schema.get_field_index(text)).to_pylist():
                 figures, words = base_figures(text_, hashes)
                 failed = base_failed(figures[0], figures[4])
                 keep.append(not failed and fitted.probability(text_, words) >= keep_from)
-            yield batch[keep]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInArrow(run, df.schema)
