@@ -58,13 +58,16 @@ MAX_GRAMS = 1_000_000
 _BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# The one letter beyond ASCII whose lower case is in ASCII, and a letter to stand for it.
+_KELVIN, _KRA = "\u212a", "\u0138"
 
 
 def words_line(text: Column) -> Column:
-    """The words of a text, each followed by one space; A-Z in lower case, nothing else."""
+    """The words of a text, each followed by one space, in lower case. Other letters than A-Z
+    change too, but none of them becomes one of a-z."""
     line = F.concat(F.regexp_replace(text, _BREAKS, " "), F.lit(" "))
-    return F.regexp_replace(F.translate(F.ltrim(line), _UPPER, _UPPER.lower()), " +$", " ")
+    line = F.replace(F.ltrim(line), F.lit(_KELVIN), F.lit(_KRA))
+    return F.regexp_replace(F.lower(line), " +$", " ")
 
 
 def _spaces(line: Column) -> Column:
