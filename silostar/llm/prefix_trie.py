@@ -126,7 +126,9 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def prefixes(turns: DataFrame) -> DataFrame:
     """conversation, depth, prefix, parent, words, is_last, for all depths from 0."""
-    ordered = turns.repartition("conversation").sortWithinPartitions("conversation", "depth")
+    # Dealt by a hash of the id: where all parts of the union are placed by the id itself, Spark
+    # would leave the exchange out, and then merge small partitions of each part on its own.
+    ordered = turns.repartition(F.xxhash64("conversation")).sortWithinPartitions("conversation", "depth")
     return ordered.mapInArrow(_chain, _PREFIX)
 
 

@@ -217,3 +217,23 @@ def test_tails_are_not_shuffled(frame):
     rows = [(k, t, "user", "hello" if t == 0 else f"{k} {t}") for k in range(0, 400, 20) for t in range(10)]
     prefixes = stored(trie.prefixes(trie.rebuilt(frame(SCHEMA, *rows), "conv_id", "turn", "role", "text")), "test")
     assert trie.screened(prefixes).filter("NOT alone").count() == 40  # the root and the shared turn
+
+
+def test_prefixes_of_parts_that_are_already_placed_by_conversation(frame, spark):
+    """Small partitions of each part are merged on their own: the prefixes need their own exchange."""
+    schema = "conversation long, depth int, digest binary, words int"
+    turns = frame(schema, *((k, d, b"%d %d" % (k, d), 1) for k in range(40) for d in range(1, 30)))
+    tops = frame(schema, *((k, 0, None, 0) for k in range(40)))
+    placed = turns.repartition("conversation").unionByName(tops.repartition("conversation"))
+    settings_ = {"advisoryPartitionSizeInBytes": "2k", "coalescePartitions.minPartitionSize": "1k", "coalescePartitions.parallelismFirst": "false"}
+    for name, value in settings_.items():
+        spark.conf.set(f"spark.sql.adaptive.{name}", value)
+    try:
+        rows = trie.prefixes(placed).collect()
+    finally:
+        for name in settings_:
+            spark.conf.unset(f"spark.sql.adaptive.{name}")
+    by_place = {(r.conversation, r.depth): r for r in rows}
+    assert len(rows) == len(by_place) == 40 * 30
+    assert all(r.parent == by_place[r.conversation, r.depth - 1].prefix for r in rows if r.depth)
+    assert {(r.conversation, r.depth) for r in rows if r.is_last} == {(k, 29) for k in range(40)}
