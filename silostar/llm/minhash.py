@@ -9,7 +9,7 @@ concentrated about the Jaccard similarity at least as well as for T independent
 Bands of coordinates give buckets. Links are only ever confirmed on the full shingle sets.
 Since a class of near copies has far more links than it needs to hang together, links are
 tried in rounds: each text first with one central text of its buckets, then with the most
-similar text that it does not yet hang together with, and at last all pairs of a bucket that
+similar text of its blocks that it does not yet hang together with, and at last all pairs of a bucket that
 still lie in different components are compared where the bucket's sets are, so that only links
 leave the task. So no link that joins components is left out, and no pairs are listed.
 """
@@ -238,9 +238,10 @@ def central_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+def open_members(members: DataFrame, labels: DataFrame, across: bool = True) -> DataFrame:
     """bucket, node, component, x, y: the members of buckets with several components. A
-    bucket of more than BLOCK nodes is cut, and each two blocks x, y of it are a group."""
+    bucket of more than BLOCK nodes is cut, in each bucket otherwise. Each two blocks x, y of
+    it are a group or, if not ``across``, each block alone."""
     labelled = members.join(labels, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")
     )
@@ -250,12 +251,13 @@ def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
              F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
         .filter(F.col("least") != F.col("most")).select("bucket", "n_blocks")
     )
-    own = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node", "bucket"), F.col("n_blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("n_blocks") - 1)
+    placed = labelled.join(unfinished, "bucket").withColumn("own", own)
+    if not across:
+        return placed.select("bucket", "node", "component", F.col("own").alias("x"), F.col("own").alias("y"))
     return (
-        labelled.join(unfinished, "bucket")
-        .withColumn("own", own)
-        .select("bucket", "node", "component", "own", F.explode(others).alias("other"))
+        placed.select("bucket", "node", "component", "own", F.explode(others).alias("other"))
         .select("bucket", "node", "component",
                 F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     )
@@ -278,8 +280,11 @@ def _agreement(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
 
 def best_pairs(open_: DataFrame, sketches_: DataFrame) -> DataFrame:
     """a, b, agreement: of each node b the two partners in other components whose sketches
-    agree most, if they agree enough. A task hands on the best of all its groups, so that a
-    node in many buckets and blocks does not give a row for each."""
+    agree most, if they agree enough. A task hands on the best of all its groups, and a pair
+    that shares several groups counts in the first of them, so that a node in many buckets
+    does not give a row for each."""
+    open_ = open_.withColumn("group", F.xxhash64("bucket", "x", "y"))
+    groups = open_.groupBy("node").agg(F.collect_set("group").alias("groups"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: dict[bytes, list[tuple[float, bytes]]] = {}
@@ -290,13 +295,16 @@ def best_pairs(open_: DataFrame, sketches_: DataFrame) -> DataFrame:
             return pd.DataFrame(out, columns=["a", "b", "agreement"])
 
         for group in runs(batches, ["bucket", "x", "y"]):
-            nodes = [bytes(n) for n in group["node"]]
+            nodes, here = [bytes(n) for n in group["node"]], group["group"].iloc[0]
+            before = [frozenset(v for v in g if v < here) for g in group["groups"]]
             for at, agree in _agreement(group):
                 j = np.argsort(-agree, 1, kind="stable")[:, :2]
                 i = np.repeat(np.arange(len(agree)), j.shape[1])
                 j = j.ravel()
                 good = agree[i, j] >= LEAST_AGREEMENT
                 for one, other in zip(i[good].tolist(), j[good].tolist()):
+                    if not before[one + at].isdisjoint(before[other]):
+                        continue
                     partners = best.setdefault(nodes[one + at], [])
                     entry = (float(agree[one, other]), nodes[other])
                     if entry not in partners:
@@ -305,7 +313,9 @@ def best_pairs(open_: DataFrame, sketches_: DataFrame) -> DataFrame:
                 yield found()
         yield found()
 
-    return _grouped(open_.join(sketches_, "node")).mapInPandas(run, "a binary, b binary, agreement double")
+    return _grouped(open_.join(sketches_, "node").join(groups, "node")).mapInPandas(
+        run, "a binary, b binary, agreement double"
+    )
 
 
 def remaining_links(open_: DataFrame, sketches_: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -398,7 +408,7 @@ def duplicates(
     discard(pairs)
     labels = components(links)
     for _ in range(BEST_ROUNDS):
-        best = best_pairs(open_members(members, labels), sketches_)
+        best = best_pairs(open_members(members, labels, across=False), sketches_)
         fresh = best.join(
             tried, (F.least("a", "b") == F.col("low")) & (F.greatest("a", "b") == F.col("high")), "left_anti"
         ).groupBy("b").agg(F.max(F.struct("agreement", "a")).alias("best"))

@@ -68,6 +68,32 @@ def test_near_duplicates_with_blocks_and_runs(docs, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.near_duplicates(texts, 5)
 
 
+def test_a_best_partner_is_named_once_for_all_buckets(frame):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**16, minhash.COORDINATES, dtype=np.uint16)
+    rows = {}
+    for k in range(12):
+        changed = base.copy()
+        changed[rng.choice(len(base), 30, replace=False)] += 1 + k
+        rows[bytes([k])] = changed
+    sketches = frame("node binary, sketch binary", *((n, r.tobytes()) for n, r in rows.items()))
+    members = frame("bucket long, node binary", *((bucket, n) for bucket in range(40) for n in rows))
+    labels = frame("node binary, component binary").limit(0)
+    found = [(bytes(r.a), bytes(r.b), r.agreement) for r in minhash.best_pairs(minhash.open_members(members, labels), sketches).collect()]
+    assert len(found) == len(set(found)) == 2 * len(rows)
+    for b, own in rows.items():
+        most = max((own == other).mean() for a, other in rows.items() if a != b)
+        assert max(agreement for _, partner, agreement in found if partner == b) == most
+
+
+def test_blocks_alone_have_a_row_for_each_member(frame, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    members = frame("bucket long, node binary", *((bucket, bytes([n])) for bucket in range(3) for n in range(20)))
+    alone = minhash.open_members(members, frame("node binary, component binary").limit(0), across=False)
+    assert alone.count() == 60 and alone.filter("x <> y").count() == 0
+    assert alone.select("bucket", "x").distinct().count() > 3
+
+
 def test_null_and_repeated_ids(docs):
     found = minhash.duplicates(docs("a b c", "a b c", "a b c", "a b c", None, ids=[None, 4, 4, 2, None])).collect()
     got = sorted(map(tuple, found), key=repr)
