@@ -37,6 +37,7 @@ LONGEST_KEPT = 200
 SHORT = 24
 _AT_ONCE = 8192
 _BITS = 32  # of a length
+_FIRST_BITS = 18  # of a hash, by which most strings that are no piece are told
 MARK = "▁"  # stands for a space in pieces
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,8 +79,9 @@ class Vocabulary:
         # Words with the spaces before them; line ends apart, if no longer piece has them.
         self.words = re.compile(r" *[^ \n]+|\n| +" if lone else r" *[^ ]+| +")
 
-    def _hashed(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted hashes of the pieces of one length, with their ids and weights."""
+    def _hashed(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted hashes of the pieces of one length, with their ids and weights, and which
+        first bits of a hash any of them has."""
         pieces = [p for p in self.pieces if len(p) == length] or ["\0" * length]
         codes = np.array([[ord(c) for c in p] for p in pieces], np.uint64)
         h = np.zeros(len(pieces), np.uint64)
@@ -87,7 +89,20 @@ class Vocabulary:
             h = mix(h * _BASE + codes[:, k])
         order = np.argsort(h)
         found = [self.pieces.get(pieces[k], (-1, 0.0)) for k in order]
-        return h[order], np.array([i for i, _ in found], np.int32), np.array([w for _, w in found])
+        some = np.zeros(1 << _FIRST_BITS, bool)
+        some[h >> np.uint64(64 - _FIRST_BITS)] = True
+        return h[order], np.array([i for i, _ in found], np.int32), np.array([w for _, w in found]), some
+
+    def look_up(self, length: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of hashes of strings of one length: the flat places of those that are pieces, with
+        their ids and weights."""
+        keys, ids, weights, some = self.by_length[length - 1]
+        flat = h.ravel()
+        place = np.nonzero(some[flat >> np.uint64(64 - _FIRST_BITS)])[0]
+        flat = flat[place]
+        at = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
+        hit = (keys[at] == flat) & (ids[at] >= 0)
+        return place[hit], ids[at[hit]], weights[at[hit]]
 
     def split(self, text: str) -> list[str]:
         return self.words.findall(text) if self.by_word else [text] if text else []
@@ -168,28 +183,30 @@ class Sampler:
         sizes = np.array([len(w) for w in words])
         width = int(sizes.max())
         padded = "".join(w.ljust(width, "\0") for w in words)  # no piece holds the filling
-        codes = np.frombuffer(padded.encode("utf-32-le"), np.uint32).reshape(n, width).astype(np.uint64)
-        ids, weights, h = [], [], np.zeros((n, width), np.uint64)
-        for length in range(1, min(longest, width) + 1):
-            h = mix(h[:, : width - length + 1] * _BASE + codes[:, length - 1 :])
-            keys, of_key, weight = self.vocabulary.by_length[length - 1]
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            hit = keys[at] == h
-            ids.append(np.where(hit, of_key[at], -1))
-            weights.append(np.where(hit, weight[at], 0.0))
+        codes = np.frombuffer(padded.encode("utf-32-le"), np.uint32).reshape(n, width).T.astype(np.uint64)
+        longest = min(longest, width)
+        hits, weights, h = [], [], np.zeros((width, n), np.uint64)
+        for length in range(1, longest + 1):
+            h = mix(h[: width - length + 1] * _BASE + codes[length - 1 :])
+            place, ids, weight = self.vocabulary.look_up(length, h)
+            hits.append((place, ids))
+            weights.append(np.zeros(h.shape))
+            weights[-1].ravel()[place] = weight
         first = self.states + np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-        sums = np.zeros((width + 1, n))
+        sums, running = np.zeros((width + 1, n)), np.zeros((longest, width + 1, n))
         sums[0] = 1.0
-        parts = []
         for end in range(1, width + 1):
-            lengths = range(min(longest, end), 0, -1)  # in the order of their start
-            shares = [sums[end - k] * weights[k - 1][:, end - k] for k in lengths]
-            running = np.cumsum(shares, 0)
-            sums[end] = running[-1]
-            for k, share in zip(lengths, running):
-                row = np.nonzero((ids[k - 1][:, end - k] >= 0) & (end <= sizes))[0]
-                state = first[row] + end
-                parts.append((state, state + share[row] / sums[end][row], np.full(len(row), -k), ids[k - 1][row, end - k]))
+            for k in range(min(longest, end), 0, -1):  # in the order of their start
+                sums[end] += sums[end - k] * weights[k - 1][end - k]
+                running[k - 1, end] = sums[end]
+        parts = []
+        for k in range(longest, 0, -1):
+            place, ids = hits[k - 1]
+            begin, row = place // n, place % n
+            end = begin + k
+            state = first[row] + end
+            share = running[k - 1, end, row] / sums[end, row]
+            parts.append((state, state + share, np.full(len(row), -k), ids))
         state, reach, start, found = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(state, kind="stable")
         state, reach = state[order], reach[order]
