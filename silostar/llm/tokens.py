@@ -11,8 +11,7 @@ import functools
 import hashlib
 import os
 import re
-
-import numpy as np
+import struct
 
 # Words a worker keeps before it starts anew.
 MAX_WORDS = 1_000_000
@@ -79,28 +78,38 @@ class ByteLevelCounts:
         ]
 
 
-# How the splitter of the word vocabulary cuts a lower-case ASCII word.
-_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-_PRINTABLE = re.compile("[!-~]+")
+# Latin letters that are one character composed or not, and in lower case too.
+_LATIN = [c for c in map(chr, range(0xC0, 0x100)) if c.isalpha()]
+# How the splitter of the word vocabulary cuts a lower-case word of ASCII and these letters.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+_PRINTABLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class WordLevelIds:
     """Ids (little-endian unsigned 32-bit) of a vocabulary that drops white space.
 
-    Printable ASCII words without markup are lower-cased and cut as the tokenizer's own
-    splitter does, and its model encodes the parts; all other words go through the whole
-    tokenizer.
+    Words of printable ASCII and Latin letters without markup are lower-cased and cut as the
+    tokenizer's own splitter does, and its model encodes the parts, in the characters that it
+    has for bytes; all other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         self.tokenizer, self.known, self.parts = load(path), {}, {}
         self.model = self.tokenizer.model
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        bytes_ = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {ord(c): bytes_.pre_tokenize_str(c)[0][0] for c in _LATIN}
 
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            ids = [t.id for t in self.model.tokenize(part)]
-            found = self.parts[part] = np.array(ids, "<u4").tobytes()
+            plain = part if part.isascii() else part.translate(self.bytes)
+            found = self.parts[part] = _packed([t.id for t in self.model.tokenize(plain)])
         return found
 
     def _learn(self, words: list[bytes]) -> None:
@@ -109,16 +118,19 @@ class WordLevelIds:
             self.parts.clear()
         rest = []
         for word in words:
+            if word.isalpha():  # ASCII letters alone: one part
+                self.known[word] = self._part(word.lower().decode())
+                continue
             text = word.decode()
             if _PRINTABLE.fullmatch(text) and "<|" not in text:
-                self.known[word] = b"".join(map(self._part, _ASCII_PARTS.findall(text.lower())))
+                self.known[word] = b"".join(map(self._part, _PARTS.findall(text.lower())))
             else:
                 rest.append((word, text))
         encoded = self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for (w, _), e in zip(rest, encoded))
+        self.known.update((w, _packed(e.ids)) for (w, _), e in zip(rest, encoded))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [t.encode().split() for t in texts]
         known = self.known
-        self._learn(list({w for words in split for w in words if w not in known}))
+        self._learn(list(set().union(*split).difference(known)))
         return [b"".join(map(known.__getitem__, words)) for words in split]

@@ -33,6 +33,21 @@ def test_ids_are_those_of_whole_texts(words_file, texts):
     assert [np.frombuffer(b, "<u4").tolist() for b in tokens.WordLevelIds(words_file)(texts)] == whole
 
 
+def test_words_of_latin_letters_need_no_whole_tokenizer(words_file):
+    words = "élan Straße ÀÉÎ naïve, l'été n'Ès ÿÞø 9é9 Äußerung! ×2 a÷b É́t ſé".split()
+    whole = [e.ids for e in tokens.load(words_file).encode_batch(words, add_special_tokens=False)]
+    encoder, seen = tokens.WordLevelIds(words_file), []
+
+    class Recorded:
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(texts)
+            return tokens.load(words_file).encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Recorded()
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder(words)] == whole
+    assert sorted(seen) == sorted(["×2", "a÷b", "É́t", "ſé"])
+
+
 def library_count(path, text):
     return len(tokens.load(path).encode(text or "", add_special_tokens=False).ids)
 
@@ -173,3 +188,19 @@ def test_a_model_without_byte_pieces_is_refused(pieces_file, monkeypatch):
     monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "is_byte", lambda self, i: False)
     with pytest.raises(ValueError):
         piece_sampling.Vocabulary(pieces_file)
+
+
+def test_strings_that_are_no_piece_are_rarely_searched(pieces_file, monkeypatch):
+    words = piece_sampling.vocabulary(pieces_file, 1.0)
+    pieces = [p for p in words.pieces if len(p) == 3][:500]
+    pick = np.random.default_rng(2)
+    strings = pieces + ["".join(map(chr, row)) for row in pick.integers(0x4000, 0x9000, (20_000, 3))]
+    h = np.zeros(len(strings), np.uint64)
+    for k in range(3):
+        h = piece_sampling.mix(h * piece_sampling._BASE + np.array([ord(s[k]) for s in strings], np.uint64))
+    searched, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda keys, v, *rest: searched.append(len(v)) or search(keys, v, *rest))
+    place, ids, weights = words.look_up(3, h)
+    expected = [(k, *words.pieces[s]) for k, s in enumerate(strings) if s in words.pieces]
+    assert list(zip(place.tolist(), ids.tolist(), weights.tolist())) == expected
+    assert sum(searched) < len(strings) // 5
