@@ -54,6 +54,7 @@ LOG_WITHOUT_ERRORS = "DQM_SIN_ERRORES_PREVIOS"
 
 OK, ERROR = "OK", "ERROR"
 THRESHOLD = 0.0
+ROWS_A_TASK = 500_000  # keys that one task groups, where rows are dealt out for it
 # ----------------------------------------------------------------------------
 
 
@@ -152,12 +153,24 @@ def _scan(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
-def measure_duplicates(df: DataFrame, rule: Rule) -> DataFrame:
+def dealt(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``df``, of ``rows`` rows at most, with equal keys in one task and so many tasks that
+    the memory to group them does not grow with the table."""
+    return df.repartition(max(1, -(-rows // ROWS_A_TASK)), *keys)
+
+
+def measure_duplicates(df: DataFrame, rule: Rule, rows: int | None = None) -> DataFrame:
     """total, affected: rows, and rows beyond the first of each key. A single key column
-    leaves nulls out; in a composite key null is a value like any other."""
+    leaves nulls out; in a composite key null is a value like any other.
+
+    Rows are counted per key before they move. After a join that dealt them by a part of the
+    key, its tasks would hold all their keys twice: given how many ``rows`` there are at most,
+    the rows are dealt out by the whole key first."""
     keys = list(rule.columns)
     if rule.check_type == KEY_DUPLICATES and len(keys) == 1:
         df = df.filter(F.col(keys[0]).isNotNull())
+    if rows is not None:
+        df = dealt(df.select(*keys), keys, rows)
     groups = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     return groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),

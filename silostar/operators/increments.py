@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silostar.operators.checks import (
-    KEY_DUPLICATES, KEY_RULES, PARENT_RULES, Rule, measure_duplicates, measure_orphans,
+    KEY_DUPLICATES, KEY_RULES, PARENT_RULES, Rule, dealt, measure_duplicates, measure_orphans,
 )
 from silostar.operators.pruning import key_ranges, within
 
@@ -54,18 +54,25 @@ def still_true(mark: Mark, rule: Rule, folders: set[str], parents: set[str], tru
     return mark.parents == parents or (mark.affected == 0 and mark.parents <= parents)
 
 
-def duplicates_of_load(incoming: DataFrame, earlier: DataFrame, rule: Rule) -> DataFrame:
+def duplicates_of_load(
+    incoming: DataFrame, earlier: DataFrame, rule: Rule, rows: int | None = None
+) -> DataFrame:
     """total, affected: the rows of a load, and how many rows beyond the first of their key
     it adds to a table. Equal to the difference of the full check after and before.
 
     Incoming keys are counted, and looked up in the table within their ranges, so that of a
     table laid out by a key column only the row groups that may hold them are read. The
     table's keys do not move for a batch that Spark can broadcast.
+
+    For a batch that grows with its table, give how many ``rows`` it has at most: its keys are
+    then dealt out before they are counted, and hashed for the look-up, so that the table's
+    keys pass by and need no sort.
     """
     keys = list(rule.columns)
     if rule.check_type == KEY_DUPLICATES and len(keys) == 1:
         incoming = incoming.filter(F.col(keys[0]).isNotNull())
-    groups = incoming.groupBy(*keys).agg(F.count("*").alias("n"))
+    counted = incoming if rows is None else dealt(incoming.select(*keys), keys, rows)
+    groups = counted.groupBy(*keys).agg(F.count("*").alias("n"))
     for key in keys:
         if isinstance(incoming.schema[key].dataType, T.IntegralType):
             held = within(key, key_ranges(incoming, key))
@@ -73,7 +80,8 @@ def duplicates_of_load(incoming: DataFrame, earlier: DataFrame, rule: Rule) -> D
     a, b = groups.alias("a"), earlier.select(*keys).alias("b")
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     # First cut the table down to incoming keys, then mark these.
-    met = b.join(groups.select(*keys).alias("a"), same, "left_semi").distinct().alias("b")
+    sought = groups.select(*keys) if rows is None else groups.select(*keys).hint("shuffle_hash")
+    met = b.join(sought.alias("a"), same, "left_semi").distinct().alias("b")
     known = a.join(met, same, "left_semi").agg(F.count("*").alias("known"))
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),

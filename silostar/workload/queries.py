@@ -197,10 +197,14 @@ def check_fact_grain_of_load(i: Inputs) -> DataFrame:
     """The same check, of the lines before the delta as a whole and of the delta as a load:
     its keys are counted, and looked up in the table within their ranges."""
     rule = ck.Rule(ck.FACT_GRAIN, "tmp_order_details", ("order_id", "product_id"))
-    known = i.before_delta(i.order_headers).select("order_id")
+    # The order keys of a task are hashed and its lines pass by, where a merge join sorts both.
+    known = i.before_delta(i.order_headers).select("order_id").hint("shuffle_hash")
     earlier = i.order_details.join(known, "order_id", "left_semi")
     load = i.order_details.join(known, "order_id", "left_anti")
-    parts = ck.measure_duplicates(earlier, rule).unionByName(increments.duplicates_of_load(load, earlier, rule))
+    rows = i.order_details.count()  # from the footers
+    parts = ck.measure_duplicates(earlier, rule, rows).unionByName(
+        increments.duplicates_of_load(load, earlier, rule, rows)
+    )
     return ck.results_of(parts, rule, BATCH_TS, STEP)
 
 
