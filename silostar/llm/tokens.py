@@ -15,6 +15,8 @@ import struct
 
 # Words a worker keeps before it starts anew.
 MAX_WORDS = 1_000_000
+# Bytes of words and their ids likewise: texts without white space are words of any length.
+MAX_BYTES = 64 << 20
 
 
 @functools.cache
@@ -98,7 +100,7 @@ class WordLevelIds:
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.known, self.parts = load(path), {}, {}
+        self.tokenizer, self.known, self.parts, self.held = load(path), {}, {}, 0
         self.model = self.tokenizer.model
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -113,9 +115,6 @@ class WordLevelIds:
         return found
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) > MAX_WORDS:
-            self.known.clear()
-            self.parts.clear()
         rest = []
         for word in words:
             if word.isalpha():  # ASCII letters alone: one part
@@ -128,9 +127,15 @@ class WordLevelIds:
                 rest.append((word, text))
         encoded = self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)
         self.known.update((w, _packed(e.ids)) for (w, _), e in zip(rest, encoded))
+        self.held += sum(len(w) + len(self.known[w]) for w in words)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [t.encode().split() for t in texts]
         known = self.known
+        if len(known) + len(self.parts) > MAX_WORDS or self.held > MAX_BYTES:
+            # Before new words are told from known ones: a batch needs the ids of both.
+            known.clear()
+            self.parts.clear()
+            self.held = 0
         self._learn(list(set().union(*split).difference(known)))
         return [b"".join(map(known.__getitem__, words)) for words in split]

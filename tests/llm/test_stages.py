@@ -1,8 +1,10 @@
 """The pipeline's stages on ids that repeat, null ids, and columns named like their own."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
+from silostar.llm import tokens
 from silostar.llm.common import free_name
 
 A = " ".join(f"alpha{i}" for i in range(40))
@@ -68,3 +70,18 @@ def test_a_text_of_millions_of_characters(spark, frame, tmp_path, stage):
     long = " ".join(f"word{i % 5000}of{i}" for i in range(150_000))
     found = stage(spark, docs(frame, (1, long), (2, A), (3, "x" * 500_000)), str(tmp_path))
     assert {1, 2} <= {r.doc_id for r in found.select("doc_id").collect()}
+
+
+def test_a_task_packs_more_distinct_words_than_it_keeps(spark, words_file):
+    """Words of the first batch come again beside new ones when their ids are let go."""
+    each, n = 3000, tokens.MAX_WORDS // 3000 + 100
+    first = F.least("id", F.lit(n)) * each
+    words = F.array_join(F.sequence(first, first + each - 1), " ")
+    text = F.when(F.col("id") < n, words).otherwise(F.concat(words, F.lit(" 0 17 2999")))
+    df = spark.range(0, n + 2, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    found = {r.doc_id: r for r in pipeline.pack(spark, df, "").groupBy("doc_id").agg(
+        F.sum("length").alias("length"), F.max("doc_tokens").alias("tokens")).collect()}
+    assert found.keys() == set(range(n + 2)) and all(r.length == r.tokens for r in found.values())
+    library = tokens.load(words_file)
+    for r in df.filter(F.col("doc_id").isin(0, 1, n - 1, n, n + 1)).collect():
+        assert found[r.doc_id].tokens == len(library.encode(r.text, add_special_tokens=False).ids) + 1
